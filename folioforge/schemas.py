@@ -1,29 +1,16 @@
 """Explicit schemas of every table that is read; nothing is inferred."""
 
-from pyspark.sql import types as T
+PAGES = "pdf_name STRING, page INT, text STRING"
 
-
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
-PAGES = _struct("pdf_name STRING, page INT, text STRING")
-
-PARAGRAPHS = _struct(
+PARAGRAPHS = (
     "pdf_name STRING, page INT, page_key STRING, unique_paragraph_id BIGINT, "
     "paragraph STRING, start_index_page BIGINT, last_index_page BIGINT"
 )
 
 # One extraction document: page key -> paragraph key -> paragraph record.
-EXTRACTION_JSON = T.MapType(
-    T.StringType(),
-    T.MapType(
-        T.StringType(),
-        _struct(
-            "pdf_name STRING, unique_paragraph_id BIGINT, paragraph STRING, page INT, "
-            "start_index_page BIGINT, last_index_page BIGINT"
-        ),
-    ),
+EXTRACTION_JSON = (
+    "MAP<STRING, MAP<STRING, STRUCT<pdf_name: STRING, unique_paragraph_id: BIGINT, "
+    "paragraph: STRING, page: INT, start_index_page: BIGINT, last_index_page: BIGINT>>>"
 )
 
 # Columns an annotation table must have, then the optional ones.
@@ -41,20 +28,25 @@ ANNOTATION_COLUMNS = [*ANNOTATION_REQUIRED, "annotator", "sector"]
 # Where a row came from: the file's base name and the row's 0-based place in it.
 ANNOTATION_PROVENANCE = ["annotation_file_name", "annotation_row"]
 
-ANNOTATIONS = _struct(
+ANNOTATIONS = (
     ", ".join(f"{c} STRING" for c in [*ANNOTATION_COLUMNS, "annotation_file_name"])
     + ", annotation_row BIGINT"
 )
 
-KPI_MAPPING_CSV = _struct(
+KPI_MAPPING_CSV = (
     "kpi_id DOUBLE, question STRING, sectors STRING, add_year BOOLEAN, kpi_category STRING"
 )
 
-RELEVANCE_SCORES = _struct(
-    "page INT, pdf_name STRING, unique_paragraph_id BIGINT, paragraph STRING, "
-    "kpi_id DOUBLE, question STRING, paragraph_relevance_flag INT, "
-    "`paragraph_relevance_score(for_label=1)` DOUBLE"
-)
+RELEVANCE_SCORES = {
+    "page": "INT",
+    "pdf_name": "STRING",
+    "unique_paragraph_id": "BIGINT",
+    "paragraph": "STRING",
+    "kpi_id": "DOUBLE",
+    "question": "STRING",
+    "paragraph_relevance_flag": "INT",
+    "paragraph_relevance_score(for_label=1)": "DOUBLE",
+}
 
 RELEVANCE_TRAINING_COLUMNS = [
     "company",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +15,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .appName("folioforge")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # small inputs still get work for every core
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        .config("spark.sql.files.openCostInBytes", "256k")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -25,16 +29,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables: the session's `spark.checkpoint.dir`.
+
+    A fresh temporary folder is set only where the session names none, as in tests.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        folder = tempfile.mkdtemp(prefix="folioforge-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
 def cut_lineage(rows: DataFrame) -> DataFrame:
-    """Write `rows` to the cluster's shared checkpoint folder and read on from there.
+    """Write `rows` as a table in the shared folder and read on from there.
 
-    Used where one result feeds several passes. The folder is the session's
-    `spark.checkpoint.dir`; only where none is set, as in tests, a fresh
-    temporary one is taken.
+    For a result that feeds several passes: later passes read only the columns
+    they need, and a lost executor costs no more than its own tasks.
     """
     spark = rows.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="folioforge-checkpoint-"))
-    return rows.checkpoint()
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
