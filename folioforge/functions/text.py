@@ -13,7 +13,7 @@ BLANK = r"[\s\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 ANY_BLANK = (
     r"[\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
-PATTERN_CHARACTERS = "()^+*$|\\?[]{}"
+PATTERN_CHARACTERS = r"[()^+*$|\\?\[\]{}]+"
 WORD = r"[\p{L}\p{N}_]{2,}"
 
 
@@ -31,12 +31,21 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, f"^{ANY_BLANK}+|{ANY_BLANK}+$", "")
 
 
+def _printable(text: Column, line_ends: str) -> Column:
+    """Line ends become blanks, control and Latin-1 characters go, runs of blanks shrink to one.
+
+    Text of printable ASCII only, the usual case, takes a cheaper way to the same result.
+    """
+    blanks = " " * len(line_ends)
+    rest = F.regexp_replace(F.translate(text, line_ends, blanks), CONTROL_AND_LATIN1, "")
+    return F.when(
+        text.rlike("[^ -~]"), F.regexp_replace(rest, f"{BLANK}{{2,}}", " ")
+    ).otherwise(F.regexp_replace(text, " {2,}", " "))
+
+
 def clean_page_text(text: Column) -> Column:
     """Cleaning applied to paragraphs when pages are split."""
-    text = _replace(_bracket_quotes(text), "|", "")
-    text = F.translate(text, "\n\t", "  ")
-    text = F.regexp_replace(text, CONTROL_AND_LATIN1, "")
-    return F.regexp_replace(text, f"{BLANK}{{2,}}", " ")
+    return _printable(_replace(_bracket_quotes(text), "|", ""), "\n\t")
 
 
 def clean_qa_text(text: Column) -> Column:
@@ -45,10 +54,8 @@ def clean_qa_text(text: Column) -> Column:
     Blanks are not collapsed again after the deletions, so a second pass may
     change the text once more.
     """
-    text = F.translate(_bracket_quotes(text), "\n“”", " ")
-    text = F.regexp_replace(text, CONTROL_AND_LATIN1, "")
-    text = F.regexp_replace(text, f"{BLANK}{{2,}}", " ")
-    text = F.lower(F.translate(text, PATTERN_CHARACTERS, ""))
+    text = _replace(_replace(_bracket_quotes(text), "“", ""), "”", "")
+    text = F.lower(F.regexp_replace(_printable(text, "\n"), PATTERN_CHARACTERS, ""))
     return F.regexp_replace(text, r"\.{2,}", "")
 
 

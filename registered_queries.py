@@ -251,13 +251,13 @@ def train_val_parts(spark, folder):
 @register
 def match_paragraphs(spark, folder):
     v = views.stored(spark, folder)
-    return matching.match_paragraphs(v.annotations, v.paragraphs)
+    return matching.match_paragraphs(matching.page_sentences(v.annotations), v.paragraphs)
 
 
 @register
 def tfidf_cosine(spark, folder):
     v = views.stored(spark, folder)
-    sentences = cut_lineage(matching.page_sentences(v.annotations))
+    sentences = matching.page_sentences(v.annotations)
     return matching.page_cosines(sentences, v.paragraphs).withColumn(
         "cosine", F.round("cosine", SCORE_DIGITS)
     )
@@ -266,7 +266,9 @@ def tfidf_cosine(spark, folder):
 @register
 def closest_paragraph(spark, folder):
     v = views.stored(spark, folder)
-    return matching.closest_paragraph(v.annotations, v.paragraphs).withColumn(
+    return matching.closest_paragraph(
+        matching.page_sentences(v.annotations), v.paragraphs
+    ).withColumn(
         "score", F.round("score", SCORE_DIGITS)
     )
 
