@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folioforge.operators.running import block_of
 from folioforge.schemas import EXTRACTION_JSON
+from folioforge.sources.listing import decoded
 
 RECORD = [
     "pdf_name",
@@ -90,7 +91,7 @@ def read_extraction_json(spark: SparkSession, path: str) -> DataFrame:
     A file's own name says which document it is; inside the folders written
     above, whose file names Spark chooses, the records do.
     """
-    file_name = F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B")))
+    file_name = decoded("_metadata.file_name")
     stem = F.regexp_replace(F.replace(file_name, F.lit("_output"), F.lit("")), r"\.json$", "")
     named = F.when(file_name.endswith(".json"), F.concat(stem, F.lit(".pdf")))
     recorded = F.regexp_extract("value", r'"pdf_name"\s*:\s*"((?:[^"\\]|\\.)*)"', 1)

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: file types with an extractor.
 SUFFIXES = (".pdf",)
 
 
+def decoded(location: str) -> Column:
+    """A file's name or path from the scan's metadata, percent signs resolved."""
+    return F.url_decode(F.replace(location, F.lit("+"), F.lit("%2B")))
+
+
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """Names and sizes of the files in a folder; their content is not read."""
     return (
