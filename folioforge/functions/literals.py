@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from folioforge.functions.binding import bound
 from folioforge.functions.text import clean_relevance_text, strip
 
 # Literals other than lists that still stand for one passage.
@@ -18,7 +19,9 @@ def parse_page_list(pages: Column) -> Column:
     inner = F.split(F.substring(pages, F.lit(2), F.length(pages) - 2), ",")
     numbers = F.transform(inner, lambda p: strip(p).try_cast("int").cast("string"))
     bracketed = pages.startswith("[") & pages.endswith("]") & (F.length(pages) >= 2)
-    return F.when(bracketed & ~F.exists(numbers, lambda p: p.isNull()), numbers)
+    return bound(
+        F.when(bracketed, numbers), lambda ns: F.when(~F.exists(ns, lambda p: p.isNull()), ns)
+    )
 
 
 def pages_zero_based(pages: Column) -> Column:
@@ -33,23 +36,32 @@ def zero_based_page_key(page: Column) -> Column:
     return (page.try_cast("int") - 1).cast("string")
 
 
-def parse_passages(passages: Column) -> Column:
-    """Annotated passages as an array; null when they cannot be read."""
-    text = clean_relevance_text(passages)
+def _passages_of(text: Column) -> Column:
     # a trailing comma is legal in the source notation but not in JSON
     parsed = F.from_json(F.regexp_replace(text, r",\s*\]\s*$", "]"), "array<string>")
-    found = F.coalesce(parsed, F.when(text.rlike(SCALAR_LITERAL), F.array(text)))
-    return F.when(F.size(found) > 0, found)
+    return F.coalesce(parsed, F.when(text.rlike(SCALAR_LITERAL), F.array(text)))
 
 
-def split_passages(passages: Column) -> Column:
-    """Split a bracketed list of quoted passages, mending a wrong bracket."""
-    text = strip(passages)
-    body_but_last = F.substring(text, F.lit(1), F.length(text) - 1)
-    text = (
+def parse_passages(passages: Column) -> Column:
+    """Annotated passages as an array; null when they cannot be read."""
+    found = bound(clean_relevance_text(passages), _passages_of)
+    return F.nullif(found, F.array().cast("array<string>"))
+
+
+def _mended(text: Column) -> Column:
+    but_last = F.substring(text, F.lit(1), F.length(text) - 1)
+    return (
         F.when(text.rlike(r"^[{\]]"), F.concat(F.lit("["), F.substr(text, F.lit(2))))
-        .when(text.rlike(r"[}\[]$"), F.concat(body_but_last, F.lit("]")))
+        .when(text.rlike(r"[}\[]$"), F.concat(but_last, F.lit("]")))
         .otherwise(text)
     )
+
+
+def _quoted_items(text: Column) -> Column:
     body = F.substring(text, F.lit(3), F.greatest(F.length(text) - 4, F.lit(0)))
     return F.when(text.startswith("[") & text.endswith("]"), F.split(body, '", ?"'))
+
+
+def split_passages(passages: Column) -> Column:
+    """Split a bracketed list of quoted passages, mending a wrong bracket."""
+    return bound(bound(strip(passages), _mended), _quoted_items)

@@ -11,7 +11,8 @@ CONTROL_AND_LATIN1 = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\xff]"
 BLANK = r"[\s\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 # All Unicode blanks, for stripping text that was not cleaned before.
 ANY_BLANK = (
-    r"[\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+    " \t\n\r\f\v\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 PATTERN_CHARACTERS = r"[()^+*$|\\?\[\]{}]+"
 WORD = r"[\p{L}\p{N}_]{2,}"
@@ -28,7 +29,7 @@ def _bracket_quotes(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Remove blanks of any kind from both ends."""
-    return F.regexp_replace(text, f"^{ANY_BLANK}+|{ANY_BLANK}+$", "")
+    return F.btrim(text, F.lit(ANY_BLANK))
 
 
 def _printable(text: Column, line_ends: str) -> Column:
