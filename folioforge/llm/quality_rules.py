@@ -125,7 +125,10 @@ def judged(
         "row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
         (total / F.greatest(F.size("ngrams"), F.lit(1))).alias("score"),
     )
-    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+    kept = scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+    # counted, and so computed before any filter on `kept`: pushed below the arrays of words, such a
+    # filter would split the text anew for every element
+    return kept.observe("quality rules", F.count("*").alias("judged"), F.count_if("kept").alias("kept"))
 
 
 def trusted_by_labels(labels: DataFrame) -> DataFrame:
