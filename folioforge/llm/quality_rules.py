@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from folioforge.llm.common import words
 
 BUCKETS = 1 << 16
+PRIOR = 20
 #: Nats per n-gram below which a text is rejected.
 THRESHOLD = -0.06
 LEAST_WORDS = 50
@@ -34,11 +35,14 @@ def ngrams(word_list: str, buckets: int = BUCKETS) -> Column:
 
 
 def ratio_table(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """One row, one array: the log ratio of each bucket, with one count added to each.
+    """One row, one array: the log ratio of each bucket.
+
+    `PRIOR` counts are added to each bucket of the corpus, and the target's share of them to each of
+    the target, so a bucket that is hardly ever seen says little.
 
     `docs` has doc_id and text, `trusted` the doc_id of target documents. All documents are
     counted; counts are summed before the shuffle and there are `buckets` of them at any size.
-    Without documents, or without trusted ones, all ratios are those of the added counts.
+    Without trusted documents every bucket falls the lower the more the corpus has of it.
     """
     marks = trusted.select("doc_id").where("doc_id is not null").distinct().withColumn("target", F.lit(1))
     told = docs.select("doc_id", "text").join(marks, "doc_id", "left")
@@ -53,10 +57,9 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) ->
     one = full.agg(
         F.sum("r").alias("all_r"), F.sum("t").alias("all_t"), F.collect_list(F.struct("bucket", "r", "t")).alias("each")
     )
-    shift = F.log(F.col("all_r") + buckets) - F.log(F.col("all_t") + buckets)
-    return one.select(
-        F.transform(F.array_sort("each"), lambda x: F.log(x["t"] + 1) - F.log(x["r"] + 1) + shift).alias("ratios")
-    )
+    share = F.coalesce(F.nullif(F.col("all_t"), F.lit(0)) / F.col("all_r"), F.lit(1.0))
+    ratio = lambda x: F.log((x["t"] + PRIOR * share) / (x["r"] + PRIOR)) - F.log(share)
+    return one.select(F.transform(F.array_sort("each"), ratio).alias("ratios"))
 
 
 def _windows(array: Column) -> Column:
