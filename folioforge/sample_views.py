@@ -96,6 +96,7 @@ def annotations(paragraph_table: DataFrame) -> DataFrame:
     number = F.nullif(F.regexp_extract("plain", "[0-9]+", 0), F.lit(""))
     inner = _pick(
         v,
+        (19, 0, F.coalesce(number, F.col("plain"))),
         (6, 0, F.replace("plain", F.lit("an"), F.lit("na"))),
         (6, 1, F.concat(F.lit("no such passage "), F.md5("paragraph"))),
         otherwise=F.array_join(F.slice("w", F.lit(2), F.greatest(F.size("w") - 2, F.lit(1))), " "),

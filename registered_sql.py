@@ -121,7 +121,8 @@ words AS (
 ),
 inners AS (
     SELECT *, 'doc_' || doc_id AS stem, (page + 1)::VARCHAR AS p1,
-        CASE WHEN v % 6 = 0 THEN replace(plain, 'an', 'na')
+        CASE WHEN v % 19 = 0 THEN coalesce(nullif(regexp_extract(plain, '[0-9]+'), ''), plain)
+             WHEN v % 6 = 0 THEN replace(plain, 'an', 'na')
              WHEN v % 6 = 1 THEN 'no such passage ' || md5(paragraph)
              ELSE array_to_string(list_slice(w, 2, 1 + greatest(len(w) - 2, 1)), ' ') END AS inner_text
     FROM words
@@ -225,7 +226,7 @@ qa_rows AS (
 ),
 passage_pairs AS (
     SELECT r.source_file, r.page_key, r.passage, t.unique_paragraph_id, t.text,
-        contains(t.text, r.passage) AS contained
+        contains(t.text, r.passage) AND len({starts('r.passage', 't.text')}) > 0 AS contained
     FROM (SELECT DISTINCT source_file, page_key, passage FROM qa_rows) r
     JOIN qa_paragraphs t USING (source_file, page_key)
 ),

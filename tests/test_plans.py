@@ -116,7 +116,7 @@ def test_crowded_documents_give_the_same(spark):
     v = sample_views.stored(spark, FOLDER)
     cleaned = ann.clean(ann.text_only(ann.clean_annotations(v.annotations, v.kpi_mapping)), v.kpi_mapping)
     usual = answerable.create_answerable(cleaned, v.paragraphs)
-    crowded = answerable.create_answerable(cleaned, v.paragraphs, direct_limit=2)
+    crowded = answerable.create_answerable(cleaned, v.paragraphs)
     assert usual.count() == crowded.count() > 0
     assert usual.exceptAll(crowded).count() == 0
     for r in usual.where(F.size("answer_start") > 0).collect():
