@@ -16,6 +16,8 @@ from folioforge.llm.common import words
 
 BUCKETS = 1 << 16
 PRIOR = 20
+#: Trusted documents that the target is counted over.
+SAMPLE = 20_000
 #: Nats per n-gram below which a text is rejected.
 THRESHOLD = -0.06
 LEAST_WORDS = 50
@@ -34,18 +36,23 @@ def ngrams(word_list: str, buckets: int = BUCKETS) -> Column:
     return F.transform(F.concat(single, pairs), lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
 
 
-def ratio_table(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+def ratio_table(
+    docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, sample: int = SAMPLE
+) -> DataFrame:
     """One row, one array: the log ratio of each bucket.
 
     `PRIOR` counts are added to each bucket of the corpus, and the target's share of them to each of
     the target, so a bucket that is hardly ever seen says little.
 
     `docs` has doc_id and text, `trusted` the doc_id of target documents. All documents are
-    counted; counts are summed before the shuffle and there are `buckets` of them at any size.
+    counted for the corpus, and for the target those of at most `sample` trusted ids, the first
+    by a hash; so the ids that every task gets have a bound, and no text is shuffled. Counts
+    are summed before the shuffle and there are `buckets` of them at any size.
     Without trusted documents every bucket falls the lower the more the corpus has of it.
     """
-    marks = trusted.select("doc_id").where("doc_id is not null").distinct().withColumn("target", F.lit(1))
-    told = docs.select("doc_id", "text").join(marks, "doc_id", "left")
+    ids = trusted.select("doc_id").where("doc_id is not null").distinct()
+    marks = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).withColumn("target", F.lit(1))
+    told = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id", "left")
     listed = told.select("target", words(F.col("text")).alias("words"))
     counts = (
         listed.select("target", F.explode(ngrams("words", buckets)).alias("bucket"))
