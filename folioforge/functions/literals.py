@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from folioforge.functions.binding import bound
 from folioforge.functions.text import clean_relevance_text, strip
 
-# Literals other than lists that still stand for one passage.
+# Literals other than lists that still stand for one passage: strings, numbers, and tuples, sets
+# and dictionaries of these, as far as they are not nested.
+_SCALAR = r"""("[^"]*"|'[^']*'|[-+]?[0-9]+(\.[0-9]*)?([eE][-+]?[0-9]+)?|None|True|False)"""
+_ENTRY = rf"{_SCALAR}\s*:\s*{_SCALAR}"
+_SEVERAL = rf"({_SCALAR}(\s*,\s*{_SCALAR})*\s*,?)"
+_ENTRIES = rf"({_ENTRY}(\s*,\s*{_ENTRY})*\s*,?)"
 SCALAR_LITERAL = (
-    r"""^[ \t]*("[^"]*"|'[^']*'|[-+]?[0-9]+(\.[0-9]*)?([eE][-+]?[0-9]+)?|None|True|False)\s*$"""
+    rf"^[ \t]*({_SCALAR}|\(\s*{_SEVERAL}?\s*\)|\{{\s*({_SEVERAL}|{_ENTRIES})?\s*\}})\s*$"
 )
 
 

@@ -22,12 +22,7 @@ LINE = "\n"
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    """The raw table; spread over the cores where it has fewer files than cores."""
-    table = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
-    cores = spark.sparkContext.defaultParallelism
-    if len(table.inputFiles()) < cores:
-        table = table.repartition(cores, "doc_id")
-    return table
+    return spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,7 +50,7 @@ def kpi_mapping(spark: SparkSession, folder: str) -> DataFrame:
     item = F.col("item_id")
     raw = spark.read.parquet(f"{folder}/benchmark.parquet").select(
         item.cast("double").alias("kpi_id"),
-        F.concat(F.lit("What about "), F.split("text", " ")[0], F.lit(" no. "), item, F.lit("?")).alias(
+        F.concat(F.lit("What about "), F.col("text"), F.lit(" no. "), item, F.lit("?")).alias(
             "question"
         ),
         F.lit("OG, CM, CU").alias("sectors"),

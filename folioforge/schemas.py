@@ -13,6 +13,7 @@ EXTRACTION_JSON = (
     "paragraph: STRING, page: INT, start_index_page: BIGINT, last_index_page: BIGINT>>>"
 )
 
+# The names and order of columns below are those of the file formats.
 # Columns an annotation table must have, then the optional ones.
 ANNOTATION_REQUIRED = [
     "company",
@@ -33,9 +34,13 @@ ANNOTATIONS = (
     + ", annotation_row BIGINT"
 )
 
-KPI_MAPPING_CSV = (
-    "kpi_id DOUBLE, question STRING, sectors STRING, add_year BOOLEAN, kpi_category STRING"
-)
+KPI_MAPPING_CSV = {
+    "kpi_id": "DOUBLE",
+    "question": "STRING",
+    "sectors": "STRING",
+    "add_year": "BOOLEAN",
+    "kpi_category": "STRING",
+}
 
 RELEVANCE_SCORES = {
     "page": "INT",

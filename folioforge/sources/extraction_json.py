@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.operators.running import block_of
 from folioforge.schemas import EXTRACTION_JSON
 from folioforge.sources.listing import decoded
 
@@ -31,11 +30,7 @@ def _map_in_order(order: str, key: str, value: str) -> Column:
 
 
 def nest_paragraphs(paragraphs: DataFrame) -> DataFrame:
-    """(pdf_name, part, json): one JSON text per document and 1,024 pages.
-
-    Only documents longer than that have more than one part, so no task ever
-    builds more than one part's text.
-    """
+    """(pdf_name, json): one JSON text per document, as the format has it."""
     records = paragraphs.select(
         "pdf_name",
         "page",
@@ -48,10 +43,9 @@ def nest_paragraphs(paragraphs: DataFrame) -> DataFrame:
         _map_in_order("unique_paragraph_id", "id_key", "record").alias("content")
     )
     return (
-        pages.withColumn("part", block_of("page"))
-        .groupBy("pdf_name", "part")
+        pages.groupBy("pdf_name")
         .agg(_map_in_order("page", "page_key", "content").alias("pages"))
-        .select("pdf_name", "part", F.to_json("pages").alias("json"))
+        .select("pdf_name", F.to_json("pages").alias("json"))
     )
 
 
@@ -73,13 +67,19 @@ def unnest_paragraphs(documents: DataFrame) -> DataFrame:
     )
 
 
-def write_extraction_json(paragraphs: DataFrame, path: str, mode: str = "error") -> None:
-    """One folder per document with one JSON file per part; empty documents have none."""
-    stem = F.replace("pdf_name", F.lit(".pdf"), F.lit(""))
+def write_extraction_json(
+    paragraphs: DataFrame, path: str, mode: str = "error", buckets: int = 1024
+) -> None:
+    """JSON of documents, one a line, in at most `buckets` folders; empty documents have none.
+
+    A folder is written by one task, so the number of files does not grow with the documents.
+    """
+    bucket = F.pmod(F.hash("pdf_name"), F.lit(buckets))
     (
         nest_paragraphs(paragraphs)
-        .select(F.col("json").alias("value"), stem.alias("document"), "part")
-        .write.partitionBy("document", "part")
+        .select(F.col("json").alias("value"), bucket.alias("bucket"))
+        .repartition("bucket")
+        .write.partitionBy("bucket")
         .mode(mode)
         .text(path)
     )
@@ -88,16 +88,14 @@ def write_extraction_json(paragraphs: DataFrame, path: str, mode: str = "error")
 def read_extraction_json(spark: SparkSession, path: str) -> DataFrame:
     """Read documents written above, or files named `<document>[_output].json`.
 
-    A file's own name says which document it is; inside the folders written
-    above, whose file names Spark chooses, the records do.
+    A file's own name says which document it is; in the files written above, which hold many
+    documents, the records do.
     """
     file_name = decoded("_metadata.file_name")
     stem = F.regexp_replace(F.replace(file_name, F.lit("_output"), F.lit("")), r"\.json$", "")
-    named = F.when(file_name.endswith(".json"), F.concat(stem, F.lit(".pdf")))
     recorded = F.regexp_extract("value", r'"pdf_name"\s*:\s*"((?:[^"\\]|\\.)*)"', 1)
-    files = (
-        spark.read.option("recursiveFileLookup", "true")
-        .text(path, wholetext=True)
-        .select(F.coalesce(named, recorded).alias("pdf_name"), F.col("value").alias("json"))
-    )
-    return unnest_paragraphs(files)
+    text = spark.read.option("recursiveFileLookup", "true")
+    single = text.option("pathGlobFilter", "*.json").text(path, wholetext=True)
+    many = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").text(path)
+    files = single.select(F.concat(stem, F.lit(".pdf")).alias("pdf_name"), F.col("value").alias("json"))
+    return unnest_paragraphs(files.unionAll(many.select(recorded.alias("pdf_name"), F.col("value").alias("json"))))

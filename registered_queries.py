@@ -12,6 +12,7 @@ from folioforge.functions.answers import answer_offsets, shifted_offsets, shifte
 from folioforge.functions.text import clean_qa_text, clean_relevance_text
 from folioforge.operators import annotations as ann
 from folioforge.operators import answerable, matching, negatives, passages, unanswerable
+from folioforge.operators.containment import containing_texts
 from folioforge.operators.paragraphs import annotated_only, skip_extracted, split_paragraphs
 from folioforge.operators.report import extraction_report, extraction_totals
 from folioforge.operators.splitting import train_val_split
@@ -84,6 +85,19 @@ def extraction_report_totals(spark, folder):
     return extraction_totals(_report(spark, folder))
 
 
+@register
+def crowded_containment(spark, folder):
+    """Thousands of strings in one group: pieces of paragraphs sought in all paragraphs of a language."""
+    languages = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
+    doc = F.substring_index(F.substring_index("pdf_name", ".pdf", 1), "_", -1).cast("bigint")
+    texts = views.paragraphs(spark, folder).withColumn("doc_id", doc).join(languages, "doc_id")
+    texts = texts.select("lang", "pdf_name", "unique_paragraph_id", "paragraph")
+    strings = texts.select("lang", F.substring("paragraph", 11, 24).alias("piece")).distinct()
+    place = F.xxhash64("pdf_name", "unique_paragraph_id")
+    hits = containing_texts(strings, texts, ["lang"], "piece", "paragraph", place)
+    return hits.groupBy("pdf_name", "unique_paragraph_id").agg(F.count("*").alias("n_pieces"))
+
+
 @register
 def skip_extracted_documents(spark, folder):
     """Documents with a label count as extracted before."""

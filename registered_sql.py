@@ -105,7 +105,7 @@ paragraphs AS (
 MAPPING = """,
 mapping AS (
     SELECT item_id::DOUBLE AS kpi_id,
-        'What about ' || string_split(text, ' ')[1] || ' no. ' || item_id || '?' AS question,
+        'What about ' || text || ' no. ' || item_id || '?' AS question,
         'OG, CM, CU' AS sectors, item_id % 3 = 0 AS add_year,
         CASE WHEN item_id % 4 = 1 THEN ['TEXT'] ELSE ['TEXT', 'TABLE'] END AS kpi_category
     FROM benchmark
@@ -420,6 +420,13 @@ def oracle_sql() -> dict[str, str]:
             count(*) FILTER (extracted) AS n_extracted, count(*) FILTER (NOT extracted) AS n_not_extracted,
             round(100 * count(*) FILTER (extracted) / count(*), 2) AS percent_extracted,
             round(100 * count(*) FILTER (NOT extracted) / count(*), 2) AS percent_not_extracted FROM report""",
+        "crowded_containment": f"""WITH {PARAGRAPHS},
+            placed AS (SELECT d.lang, p.pdf_name, p.unique_paragraph_id, p.paragraph
+                FROM paragraphs p JOIN documents d USING (doc_id)),
+            strings AS (SELECT DISTINCT lang, substr(paragraph, 11, 24) AS piece FROM placed)
+            SELECT pdf_name, unique_paragraph_id, count(*) AS n_pieces
+            FROM placed JOIN strings ON placed.lang = strings.lang AND contains(paragraph, piece)
+            GROUP BY pdf_name, unique_paragraph_id""",
         "skip_extracted_documents": f"""WITH {PAGES}{PAGE_ROWS} SELECT pdf_name, page, text FROM page_rows
             WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
         "annotated_documents_only": f"""WITH {PAGES}{PAGE_ROWS} SELECT pdf_name, page, text FROM page_rows

@@ -78,7 +78,16 @@ def test_parse_passages(spark):
         "[]",
         "word",
         None,
-    ) == [["a", "b"], ["a"], ['"one"'], ["12"], None, None, None, None]
+        '{"text"}',
+        '("a", "b")',
+        '{"a": 1}',
+        "()",
+        '{"a"]',
+        '("a" "b"',
+    ) == [
+        ["a", "b"], ["a"], ['"one"'], ["12"], None, None, None, None,
+        ['{"text"}'], ['("a", "b")'], ['{"a": 1}'], ["()"], None, None,
+    ]
 
 
 def test_split_passages(spark):

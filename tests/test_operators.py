@@ -52,15 +52,13 @@ def test_numbering_over_many_blocks(rows, monkeypatch):
     assert [r.unique_paragraph_id for r in got] == list(range(len(expected)))
 
 
-@pytest.mark.parametrize("limit", [0, 3, 512])
-def test_containing_texts(rows, limit, monkeypatch):
-    monkeypatch.setattr("folioforge.operators.containment.BLOCK_BITS", 2)
+def test_containing_texts(rows):
     pick = random.Random(7)
 
     def string(low, high):
         return "".join(pick.choice("ab c") for _ in range(pick.randint(low, high)))
 
-    texts = [("d1" if i % 3 else "d2", i // 2, string(0, 40)) for i in range(60)]
+    texts = [("d1" if i % 3 else "d2", i, string(0, 40)) for i in range(60)]
     probes = {(pick.choice(["d1", "d2", "d3"]), string(0, 12)) for _ in range(60)} | {("d1", "")}
     got = containing_texts(
         rows("k string, p string", *probes),
@@ -69,7 +67,6 @@ def test_containing_texts(rows, limit, monkeypatch):
         "p",
         "t",
         F.col("id"),
-        limit,
     ).collect()
     expected = [(k, p, i, t) for k, p in probes for k2, i, t in texts if k == k2 and p in t]
     assert sorted((r.k, r.p, r.id, r.t) for r in got) == sorted(expected)

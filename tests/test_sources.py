@@ -3,6 +3,7 @@ import os
 from datetime import date
 from pathlib import Path
 
+from folioforge.plans.extraction import extract_files
 from folioforge.schemas import PARAGRAPHS
 from folioforge.sources import annotations as source
 from folioforge.sources.exports import (
@@ -33,9 +34,9 @@ def paragraph_rows():
 
 def test_json_round_trip(spark, rows, folder):
     table = rows(PARAGRAPHS, *paragraph_rows())
-    nested = {(r.pdf_name, r.part): json.loads(r.json) for r in nest_paragraphs(table).collect()}
-    assert list(nested[("my report.pdf", 0)]) == ["0", "2"]
-    assert nested[("my report.pdf", 0)]["2"]["1"] == {
+    nested = {r.pdf_name: json.loads(r.json) for r in nest_paragraphs(table).collect()}
+    assert list(nested["my report.pdf"]) == ["0", "2", "5000"]
+    assert nested["my report.pdf"]["2"]["1"] == {
         "pdf_name": "my report.pdf",
         "unique_paragraph_id": 1,
         "paragraph": "second",
@@ -43,7 +44,7 @@ def test_json_round_trip(spark, rows, folder):
         "start_index_page": 1,
         "last_index_page": 2,
     }
-    assert set(nested) == {("my report.pdf", 0), ("my report.pdf", 4), ("b.pdf", 0)}
+    assert set(nested) == {"my report.pdf", "b.pdf"}
     write_extraction_json(table, f"{folder}/out")
     back = read_extraction_json(spark, f"{folder}/out").collect()
     assert sorted(tuple(r) for r in back) == sorted(paragraph_rows())
@@ -85,6 +86,22 @@ def test_kpi_mapping(spark, folder):
     ]
 
 
+def test_kpi_mapping_by_name_and_last_of_equal_ids(spark, folder):
+    path = f"{folder}/other.csv"
+    Path(path).write_text(
+        "question,kpi_category,kpi_id,extra,add_year,sectors\nOld?,TEXT,2,x,FALSE,OG\nNew?,TEXT,2.0,y,TRUE,CM\n"
+    )
+    got = [tuple(r) for r in read_kpi_mapping(spark, path).collect()]
+    assert got == [(2.0, "New?", "CM", True, ["TEXT"])]
+    Path(path).write_text("kpi_id,question\n1,What?\n")
+    try:
+        read_kpi_mapping(spark, path)
+    except ValueError as error:
+        assert "add_year" in str(error)
+    else:
+        raise AssertionError("missing columns must be refused")
+
+
 def annotation_folder(folder):
     path = Path(folder, "in put")
     path.mkdir()
@@ -132,6 +149,45 @@ def test_annotation_parquet_rows_are_numbered(spark, rows, folder):
     assert {r.annotator for r in got} == {"annotation.parquet"}
 
 
+def test_annotations_of_every_format(spark, rows, folder):
+    names = HEADER.split(",")
+    good = rows(", ".join(f"{n} string" for n in names), *[tuple(str(i) * 8) for i in range(2)])
+    bad = rows("company string, year string, note string", ("c", "2016", "x"))
+    target = Path(folder, "tables")
+    target.mkdir()
+    for name, frame in (("good annotation", good), ("annotation_bad", bad)):
+        frame.coalesce(1).write.parquet(f"{folder}/{name}")
+        part = next(Path(folder, name).glob("part-*.parquet"))
+        (target / f"{name}.parquet").write_bytes(part.read_bytes())
+    lines = [dict.fromkeys(names, "a") | {"sector": "OG"}, dict.fromkeys(names, "b") | {"annotator": "me"}]
+    (target / "annotation.json").write_text("\n".join(map(json.dumps, lines)))
+    (target / "annotation_other.json").write_text(json.dumps({"company": "c"}))
+    (target / "annotation.csv").write_text(f"{HEADER}\n" + ",".join("z" * 8) + "\n")
+    got = {
+        (r.annotation_file_name, r.annotation_row, r.company, r.annotator, r.sector)
+        for r in source.read_annotations(spark, str(target)).collect()
+    }
+    assert got == {
+        ("good annotation.parquet", 0, "0", "good annotation.parquet", None),
+        ("good annotation.parquet", 1, "1", "good annotation.parquet", None),
+        ("annotation.json", 0, "a", "annotation.json", "OG"),
+        ("annotation.json", 1, "b", "me", None),
+        ("annotation.csv", 0, "z", "annotation.csv", None),
+    }
+
+
+def test_extraction_of_files_with_its_report(spark, rows):
+    files = rows("file_name string, length long", ("a.pdf", 1), ("b.docx", 1), ("c.PDF", 1), ("d.pdf", 1))
+    text = "a paragraph that is long enough\n\nanother one that is long enough\n\nshort"
+    pages = rows("pdf_name string, page int, text string", ("a.pdf", 0, text), ("b.docx", 0, text), ("c.PDF", 0, "x"))
+    paragraphs, report = extract_files(files, pages)
+    assert [r.unique_paragraph_id for r in paragraphs.orderBy("unique_paragraph_id").collect()] == [0, 1]
+    got = {r.pdf_name: (r.supported, r.n_paragraphs, r.extracted) for r in report.collect()}
+    assert got == {
+        "a.pdf": (True, 2, True), "b.docx": (False, 0, False), "c.PDF": (True, 0, False), "d.pdf": (True, 0, False)
+    }
+
+
 def test_listing(spark, folder):
     for name in ("a.PDF", "b.docx", "c"):
         Path(folder, name).write_text("x")
