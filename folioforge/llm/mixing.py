@@ -114,7 +114,8 @@ def mix(
 
     on_plan = narrow.source.eqNullSafe(plan.source)
     budgeted = narrow.join(plan.where("rest > 0"), on_plan).drop(plan.source)
-    coarse = _end_of_budget(budgeted.drop("fine"), "coarse")
+    # one row per source; written, so that its size is known when it is joined
+    coarse = cut_lineage(_end_of_budget(budgeted.drop("fine"), "coarse"))
     inside = _within(narrow, coarse, ["coarse"])
     fine = _end_of_budget(inside, "fine").withColumnRenamed("source", "s")
     ends = coarse.select("source", "coarse").join(fine, F.col("source").eqNullSafe(F.col("s"))).drop("s")
@@ -128,6 +129,7 @@ def mix(
         F.col("source").alias("s"), F.col("coarse").alias("c"), F.col("fine").alias("f"), "last"
     )
     plan = plan.join(cuts, F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumnRenamed("source", "s")
+    plan = cut_lineage(plan)
     mixed = narrow.join(plan, narrow.source.eqNullSafe(plan.s))
     own = F.struct("key", F.coalesce("doc_id", F.lit(-(1 << 62))).alias("id"))
     earlier = (F.col("coarse") < F.col("c")) | ((F.col("coarse") == F.col("c")) & (F.col("fine") < F.col("f")))
