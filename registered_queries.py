@@ -26,6 +26,8 @@ from folioforge.sources.listing import route_by_suffix
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SCORE_DIGITS = 6
+# Fuzzy scores have short decimals, which would often lie between two of six digits.
+FINE_DIGITS = 8
 
 
 def register(query: Callable[[SparkSession, str], DataFrame]):
@@ -283,7 +285,7 @@ def closest_paragraph(spark, folder):
     return matching.closest_paragraph(
         matching.page_sentences(v.annotations), v.paragraphs
     ).withColumn(
-        "score", F.round("score", SCORE_DIGITS)
+        "score", F.round("score", FINE_DIGITS)
     )
 
 
@@ -291,7 +293,7 @@ def closest_paragraph(spark, folder):
 def similar_paragraphs(spark, folder):
     v = views.stored(spark, folder)
     return negatives.similar_paragraphs(v.annotations, v.paragraphs).withColumn(
-        "score", F.round("score", SCORE_DIGITS)
+        "score", F.round("score", FINE_DIGITS)
     )
 
 

@@ -389,6 +389,193 @@ cosine_pairs AS (
 )"""
 )
 
+
+def with_fuzzy(pairs: str) -> str:
+    """CTE `<pairs>_fuzzy`: `pairs` with its columns a and b compared, as `fuzzy`.
+
+    The longest common subsequence by rows of bits: a row has a bit per character of b, in words of
+    60 bits, and the length is the number of zero bits at the end. An outer fold runs over the
+    characters of a, an inner one over the words, passing the carry of the addition.
+    """
+    words = "range(0, (length(b) + 59) // 60)"
+    word = "{'v': 0::BIGINT, 'm': 0::BIGINT, 'f': 0::BIGINT, 'carry': 0::BIGINT, 'done': []::BIGINT[]}"
+    total = "(y.v + (y.v & y.m) + s.carry)"
+    common = f"""length(b) - list_sum(list_transform(list_reduce(
+        list_transform(list_filter(string_split(a, ''), lambda c: map_contains(masks, c)),
+            lambda c: {{'c': c, 'v': []::BIGINT[]}}),
+        lambda acc, x: {{'c': '', 'v': list_reduce(
+            list_transform(range(1, len(acc.v) + 1), lambda i: {{'v': acc.v[i], 'm': masks[x.c][i],
+                'f': full_words[i], 'carry': 0::BIGINT, 'done': []::BIGINT[]}}),
+            lambda s, y: {{'v': 0::BIGINT, 'm': 0::BIGINT, 'f': 0::BIGINT, 'carry': {total} >> 60,
+                'done': list_append(s.done, ({total} | (y.v & ~y.m)) & y.f)}},
+            {word}).done}},
+        {{'c': '', 'v': full_words}}).v, lambda w: bit_count(w)))"""
+    return f""",
+{pairs}_places AS (
+    SELECT b, substr(b, i::INT + 1, 1) AS c, list(i) AS ps
+    FROM (SELECT DISTINCT b FROM {pairs}), unnest(range(0, length(b))) t(i) GROUP BY ALL
+),
+{pairs}_coded AS (
+    SELECT b, map_from_entries(list({{'k': c, 'v': list_transform({words}, lambda w: coalesce(list_sum(
+            list_transform(list_filter(ps, lambda p: p // 60 = w), lambda p: 1::BIGINT << (p % 60)::INT))::BIGINT, 0))}})) AS masks,
+        list_transform({words}, lambda w: (1::BIGINT << least(60, length(b) - w * 60)::INT) - 1) AS full_words
+    FROM {pairs}_places GROUP BY b
+),
+{pairs}_common AS (
+    SELECT a, b, {common} AS n FROM (SELECT DISTINCT a, b FROM {pairs}) JOIN {pairs}_coded USING (b)
+),
+{pairs}_fuzzy AS (
+    SELECT p.*, 2.0::DOUBLE * c.n / (length(a) + length(b)) AS fuzzy FROM {pairs} p JOIN {pairs}_common c USING (a, b)
+)"""
+
+
+BOUND = "2.0::DOUBLE * least(length(a), length(b)) / (length(a) + length(b))"
+
+CLOSEST = (
+    COSINE
+    + f""",
+page_pairs AS (
+    SELECT s.annotation_file_name, s.annotation_row, s.document, s.sentence_no, s.answer, s.sentence AS a,
+        p.paragraph AS b, p.unique_paragraph_id, coalesce(c.cosine, 0) AS cosine
+    FROM sentences s JOIN documented p USING (document, page_key)
+    LEFT JOIN cosine_pairs c ON c.f = s.annotation_file_name AND c.r = s.annotation_row AND c.no = s.sentence_no
+        AND c.text_id = p.unique_paragraph_id
+),
+open_pairs AS (
+    SELECT * FROM (SELECT *, max(cosine) OVER (PARTITION BY annotation_file_name, annotation_row) AS best FROM page_pairs)
+    WHERE 0.7 * cosine + 0.3 * {BOUND} >= 0.7 * best - 1e-9
+)"""
+    + with_fuzzy("open_pairs")
+    + """,
+closest AS (
+    SELECT annotation_file_name, annotation_row, document,
+        CASE WHEN contains(b, answer) THEN unique_paragraph_id END AS unique_paragraph_id,
+        CASE WHEN contains(b, answer) THEN b ELSE a END AS context,
+        contains(b, answer) AS in_extraction_data_flag, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY annotation_file_name, annotation_row
+            ORDER BY score DESC, unique_paragraph_id, sentence_no) AS rn
+        FROM (SELECT *, round(0.7 * cosine + 0.3 * fuzzy, 9) AS score FROM open_pairs_fuzzy))
+    WHERE rn = 1
+)"""
+)
+
+SIMILAR = (
+    r""",
+wanted AS (
+    SELECT annotation_file_name, annotation_row, replace(source_file, '.pdf', '') AS document, relevant_paragraphs AS a
+    FROM annotations WHERE data_type = 'TEXT' AND relevant_paragraphs IS NOT NULL
+),
+first_wanted AS (
+    SELECT document, a, min({'f': annotation_file_name, 'r': annotation_row}) AS k FROM wanted GROUP BY ALL
+),
+own_texts AS (
+    SELECT document, paragraph AS b, count(*) AS copies, min(unique_paragraph_id) AS text_id
+    FROM (SELECT *, replace(pdf_name, '.pdf', '') AS document FROM paragraphs)
+    WHERE document IN (SELECT document FROM wanted) GROUP BY ALL
+),
+text_terms AS (
+    SELECT document, text_id, copies, term, count(*) AS tf
+    FROM (SELECT *, unnest(regexp_extract_all(lower(b), '[\p{L}\p{N}_]{2,}')) AS term FROM own_texts) GROUP BY ALL
+),
+wanted_terms AS (
+    SELECT document, k, term, count(*) AS tf
+    FROM (SELECT *, unnest(regexp_extract_all(lower(a), '[\p{L}\p{N}_]{2,}')) AS term FROM first_wanted) GROUP BY ALL
+),
+term_counts AS (SELECT document, term, sum(copies) AS df FROM text_terms GROUP BY ALL),
+text_counts AS (SELECT document, sum(copies) AS n FROM own_texts GROUP BY ALL),
+wanted_weights AS (
+    SELECT w.document, w.k, w.term, w.tf, ln((2 + n) / (2 + coalesce(df, 0))) + 1 AS idf
+    FROM wanted_terms w JOIN text_counts USING (document) LEFT JOIN term_counts USING (document, term)
+),
+text_weights AS (
+    SELECT t.*, w.k, t.tf * coalesce(w.idf, ln((2 + n) / (1 + df)) + 1) AS weight, w.tf * w.idf AS other
+    FROM (SELECT f.k, t.* FROM first_wanted f JOIN text_terms t USING (document)) t
+    JOIN text_counts USING (document) JOIN term_counts USING (document, term)
+    LEFT JOIN wanted_weights w USING (document, k, term)
+),
+wanted_lengths AS (SELECT document, k, sqrt(sum((tf * idf) ** 2)) AS norm FROM wanted_weights GROUP BY ALL),
+near_texts AS (
+    SELECT t.document, t.k, t.text_id, t.copies, sum(weight * other) / sqrt(sum(weight ** 2)) / any_value(norm) AS cosine
+    FROM text_weights t JOIN wanted_lengths l ON l.document = t.document AND l.k = t.k
+    GROUP BY t.document, t.k, t.text_id, t.copies
+    HAVING sum(weight * other) IS NOT NULL
+),
+near_pairs AS (
+    SELECT n.*, a, b FROM near_texts n JOIN first_wanted USING (document, k) JOIN own_texts USING (document, text_id)
+    WHERE 0.7 * cosine + 0.3 * """
+    + BOUND
+    + """ >= 0.7 - 1e-9
+)"""
+    + with_fuzzy("near_pairs")
+    + """,
+alike AS (
+    SELECT document, k, text_id, copies, 0.7 * cosine + 0.3 * fuzzy AS score FROM near_pairs_fuzzy
+    WHERE 0.7 * cosine + 0.3 * fuzzy >= 0.7
+),
+candidate_counts AS (
+    SELECT w.annotation_file_name, w.annotation_row, document, k.f AS first_annotation_file_name,
+        k.r AS first_annotation_row, n_paragraphs, coalesce(s.n, 0)::BIGINT AS n_similar,
+        (n_paragraphs - coalesce(s.n, 0))::BIGINT AS n_candidates
+    FROM wanted w JOIN first_wanted f USING (document, a)
+    JOIN (SELECT document, sum(copies)::BIGINT AS n_paragraphs FROM own_texts GROUP BY ALL) USING (document)
+    LEFT JOIN (SELECT document, k, sum(copies) AS n FROM alike GROUP BY ALL) s USING (document, k)
+)"""
+)
+
+
+def draws(rate: int) -> str:
+    """CTE `drawn`: negatives, `rate` for each annotation."""
+    return f""",
+candidate_texts AS (
+    SELECT f.document, f.k, t.b, t.copies,
+        sum(t.copies) OVER (PARTITION BY f.document, f.k ORDER BY t.text_id) - t.copies AS start
+    FROM first_wanted f JOIN own_texts t USING (document)
+    WHERE NOT EXISTS (SELECT 1 FROM alike s WHERE s.document = f.document AND s.k = f.k AND s.text_id = t.text_id)
+),
+draw_places AS (
+    SELECT *, ('0x' || substr(md5('42|' || annotation_file_name || '|' || annotation_row || '|' || draw), 1, 15))::BIGINT
+        % n_candidates AS place
+    FROM candidate_counts, unnest(range(0, {rate})) t(draw) WHERE n_candidates > 0
+),
+drawn AS (
+    SELECT annotation_file_name, annotation_row, d.document, draw::INT AS draw, c.b AS context
+    FROM draw_places d JOIN candidate_texts c ON c.document = d.document
+        AND c.k.f = d.first_annotation_file_name AND c.k.r = d.first_annotation_row
+        AND d.place >= c.start AND d.place < c.start + c.copies
+)"""
+
+
+FULL_RELEVANCE = (
+    CLOSEST
+    + SIMILAR
+    + draws(1)
+    + """,
+positive AS (
+    SELECT annotation_file_name, annotation_row, context, true AS flag, unique_paragraph_id FROM matched
+    UNION ALL
+    SELECT annotation_file_name, annotation_row, context, in_extraction_data_flag, unique_paragraph_id FROM closest c
+    WHERE NOT EXISTS (SELECT 1 FROM matched m WHERE m.annotation_file_name = c.annotation_file_name
+        AND m.annotation_row = c.annotation_row)
+),
+examples AS (
+    SELECT *, 1 AS label FROM positive
+    UNION ALL
+    SELECT annotation_file_name, annotation_row, context, coalesce(flag, false), NULL, 0
+    FROM drawn LEFT JOIN (SELECT annotation_file_name, annotation_row, bool_or(flag) AS flag FROM positive GROUP BY ALL)
+        USING (annotation_file_name, annotation_row)
+)
+SELECT a.company, a.year, a.source_file,
+    CASE WHEN regexp_full_match(a.source_page, '\\[ *[0-9]+ *(, *[0-9]+ *)*\\]') THEN
+        array_to_string(list_transform(string_split(substr(a.source_page, 2, length(a.source_page) - 2), ','),
+            lambda p: (TRY_CAST(trim(p) AS INT) - 1)::VARCHAR), ',') END AS source_page,
+    x.context, m.question, TRY_CAST(a.kpi_id AS DOUBLE) AS kpi_id, x.label, x.flag AS in_extraction_data_flag,
+    CASE WHEN x.flag THEN x.unique_paragraph_id END AS unique_paragraph_id, a.annotation_file_name,
+    a.annotation_row + 2 AS annotation_file_row, a.answer AS annotation_answer
+FROM examples x JOIN annotations a USING (annotation_file_name, annotation_row)
+LEFT JOIN mapping m ON m.kpi_id = TRY_CAST(a.kpi_id AS DOUBLE)
+WHERE x.context <> ''"""
+)
+
 QA_OUT = f"source_file, paragraph, question, answer, {joined('answer_start')} AS answer_start"
 STORED = "* EXCLUDE (answer_start), " + joined("answer_start") + " AS answer_start"
 FILES = """,
@@ -475,6 +662,12 @@ def oracle_sql() -> dict[str, str]:
             s.sentence_no, c.text_id, round(c.cosine, 6) AS cosine
             FROM cosine_pairs c JOIN sentences s ON s.annotation_file_name = c.f AND s.annotation_row = c.r
                 AND s.sentence_no = c.no""",
+        "closest_paragraph": f"""WITH {CLOSEST} SELECT * REPLACE (round(score, 8) AS score) FROM closest""",
+        "similar_paragraphs": f"""WITH {ANNOTATIONS}{SIMILAR} SELECT document, k.f AS annotation_file_name,
+            k.r AS annotation_row, text_id, copies, round(score, 8) AS score FROM alike""",
+        "negative_candidates": f"WITH {ANNOTATIONS}{SIMILAR} SELECT * FROM candidate_counts",
+        "negative_sample": f"WITH {ANNOTATIONS}{SIMILAR}{draws(2)} SELECT * FROM drawn",
+        "curate_relevance_full": f"WITH {FULL_RELEVANCE}",
         "curate_relevance_exact": f"""WITH {SENTENCES} SELECT a.company, a.year, a.source_file,
             array_to_string(list_transform(string_split(substr(a.source_page, 2, length(a.source_page) - 2), ','),
                 lambda p: (trim(p)::INT - 1)::VARCHAR), ',') AS source_page,
