@@ -662,7 +662,7 @@ def oracle_sql() -> dict[str, str]:
             s.sentence_no, c.text_id, round(c.cosine, 6) AS cosine
             FROM cosine_pairs c JOIN sentences s ON s.annotation_file_name = c.f AND s.annotation_row = c.r
                 AND s.sentence_no = c.no""",
-        "closest_paragraph": f"""WITH {CLOSEST} SELECT * REPLACE (round(score, 8) AS score) FROM closest""",
+        "closest_paragraph": f"""WITH {CLOSEST} SELECT * REPLACE (round(score, 6) AS score) FROM closest""",
         "similar_paragraphs": f"""WITH {ANNOTATIONS}{SIMILAR} SELECT document, k.f AS annotation_file_name,
             k.r AS annotation_row, text_id, copies, round(score, 8) AS score FROM alike""",
         "negative_candidates": f"WITH {ANNOTATIONS}{SIMILAR} SELECT * FROM candidate_counts",
