@@ -18,7 +18,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def words(text: Column) -> Column:
     """The words `[^\\x20\\x09-\\x0D]+` of a text in order; none of a null."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_GAP), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_GAP), "")
 
 
 def fresh(rows: DataFrame, *names: str) -> list[str]:

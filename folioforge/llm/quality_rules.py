@@ -24,8 +24,8 @@ LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 
 
-def ngrams(word_list: str, buckets: int = BUCKETS) -> Column:
-    """Buckets of the words in a column of arrays and of the pairs of neighbouring words, repeats included.
+def ngrams(word_list: str) -> Column:
+    """Hashes of the words in a column of arrays and of the pairs of neighbouring words, repeats included.
 
     A word's hash is XXH64 with seed 42, a pair's the second word's XXH64 with the first's hash as seed.
     """
@@ -33,7 +33,11 @@ def ngrams(word_list: str, buckets: int = BUCKETS) -> Column:
     single = F.transform(array, lambda w: F.xxhash64(w))
     heads = F.slice(array, 1, F.greatest(F.size(array) - 1, F.lit(0)))
     pairs = F.transform(heads, lambda w, i: F.xxhash64(w, F.get(array, i + 1)))
-    return F.transform(F.concat(single, pairs), lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
+    return F.concat(single, pairs)
+
+
+def _bucket(ngram: Column, buckets: int) -> Column:
+    return F.pmod(ngram, F.lit(buckets)).cast("int")
 
 
 def ratio_table(
@@ -55,8 +59,8 @@ def ratio_table(
     told = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id", "left")
     listed = told.select("target", words(F.col("text")).alias("words"))
     counts = (
-        listed.select("target", F.explode(ngrams("words", buckets)).alias("bucket"))
-        .groupBy("bucket")
+        listed.select("target", F.explode(ngrams("words")).alias("ngram"))
+        .groupBy(_bucket(F.col("ngram"), buckets).alias("bucket"))
         .agg(F.count("*").alias("r"), F.count("target").alias("t"))
     )
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
@@ -126,8 +130,8 @@ def judged(
     # one number per bucket, so the driver gets the same amount at any size
     table = ratio_table(docs, trusted, buckets).first()["ratios"]
     ratios = F.split(F.lit(",".join(map(repr, table))), ",").cast("array<double>")
-    figures = measures(docs, text_column).withColumn("ngrams", ngrams("words", buckets))
-    total = F.aggregate("ngrams", F.lit(0.0), lambda acc, b: acc + F.get(ratios, b))
+    figures = measures(docs, text_column).withColumn("ngrams", ngrams("words"))
+    total = F.aggregate("ngrams", F.lit(0.0), lambda acc, x: acc + F.get(ratios, _bucket(x, buckets)))
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")
     )
