@@ -16,8 +16,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioforge.llm.vocabulary import Vocabulary, default_path, load
 
@@ -28,6 +30,9 @@ LEAF = 256
 FIRST_WINDOW = 4
 REMEMBERED = 400_000
 _SHORT = 48
+#: Texts whose results a task holds at a time.
+_AT_ONCE = 256
+_CODED = (T.StructField("ids", T.BinaryType()), T.StructField("text", T.StringType()))
 
 Tokens = list[tuple[int, int]]  # (id, symbols covered)
 
@@ -132,12 +137,26 @@ def encode_documents(
 
     A null text counts as an empty one and gives no ids. Special strings inside a text get
     their own id, as the library has it by default. Whole texts are encoded, each in its own
-    task without a shuffle; repeated rows stay repeated, other columns do not matter.
+    task without a shuffle; repeated rows stay repeated, other columns do not matter. A task
+    holds the results of a few hundred texts at a time.
     """
-    ids = docs.select(
-        F.col(id_column).alias("doc_id"), encoded(F.col(text_column), vocabulary_path).alias("ids")
+    path = vocabulary_path or default_path(VOCABULARY)
+    texts = docs.select(
+        F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text")
     )
-    return ids.withColumn("text", decoded(F.col("ids"), vocabulary_path))
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(load(path))
+        for batch in batches:
+            for start in range(0, batch.num_rows, _AT_ONCE):
+                part = batch.slice(start, _AT_ONCE)
+                ids = [encoder.encode(t) for t in part.column("text").to_pylist()]
+                back = [encoder.decode(i) for i in ids]
+                columns = [part.column("doc_id"), pa.array(ids, pa.binary()), pa.array(back, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "text"])
+
+    schema = T.StructType([texts.schema["doc_id"], *_CODED])
+    return texts.mapInArrow(code, schema)
 
 
 def encoding_digests(
