@@ -167,3 +167,32 @@ def clean(annotations: DataFrame, kpi_mapping: DataFrame) -> DataFrame:
     )
     ordered = [*ANNOTATION_COLUMNS, *ANNOTATION_PROVENANCE, "question", "several", "item"]
     return split_multi_paragraph(rows).select(*ordered)
+
+
+def passage_rejects(annotations: DataFrame, kpi_mapping: DataFrame) -> DataFrame:
+    """What `clean` drops, by the first reason that applies; (reason, n_rows).
+
+    Of several passages and pages of a row, those without a counterpart are counted singly.
+    """
+    rows = map_questions(annotations, kpi_mapping).withColumn(
+        "__passages", split_passages(F.col("relevant_paragraphs"))
+    )
+    surplus = F.when(F.size("__passages") > 1, F.size("__passages") - F.size("source_page")).otherwise(0)
+
+    def lost(reason: str, n_rows: Column) -> Column:
+        return F.struct(F.lit(reason).alias("reason"), n_rows.cast("bigint").alias("n_rows"))
+
+    found = (
+        F.when(F.col("question").isNull(), lost("unknown question", F.lit(1)))
+        .when(F.col("relevant_paragraphs").isNull(), lost("missing passage", F.lit(1)))
+        .when(F.col("answer").isNull(), lost("missing answer", F.lit(1)))
+        .when(F.col("__passages").isNull(), lost("unreadable passage list", F.lit(1)))
+        .when(surplus > 0, lost("passage without page", surplus))
+        .when(surplus < 0, lost("page without passage", -surplus))
+    )
+    return (
+        rows.select(found.alias("lost"))
+        .where("lost is not null")
+        .groupBy("lost.reason")
+        .agg(F.sum("lost.n_rows").alias("n_rows"))
+    )

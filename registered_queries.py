@@ -165,6 +165,13 @@ def annotation_rejects(spark, folder):
     return ann.annotation_rejects(v.annotations, v.kpi_mapping)
 
 
+@register
+def passage_rejects(spark, folder):
+    v = views.stored(spark, folder)
+    rows = ann.text_only(ann.clean_annotations(v.annotations, v.kpi_mapping))
+    return ann.passage_rejects(rows, v.kpi_mapping)
+
+
 @register
 def invalid_pages(spark, folder):
     return ann.invalid_pages(views.stored(spark, folder).annotations)

@@ -662,6 +662,21 @@ def oracle_sql() -> dict[str, str]:
             s.sentence_no, c.text_id, round(c.cosine, 6) AS cosine
             FROM cosine_pairs c JOIN sentences s ON s.annotation_file_name = c.f AND s.annotation_row = c.r
                 AND s.sentence_no = c.no""",
+        "passage_rejects": f"""WITH {CLEAN},
+            lost AS (
+                SELECT 'missing passage' AS reason, 1 AS n FROM clean_annotations
+                WHERE data_type = 'TEXT' AND relevant_paragraphs IS NULL
+                UNION ALL
+                SELECT 'missing answer', 1 FROM clean_annotations
+                WHERE data_type = 'TEXT' AND relevant_paragraphs IS NOT NULL AND answer IS NULL
+                UNION ALL
+                SELECT 'unreadable passage list', 1 FROM mended
+                WHERE NOT (starts_with(bracketed, '[') AND ends_with(bracketed, ']'))
+                UNION ALL
+                SELECT CASE WHEN len(ps) > len(source_page) THEN 'passage without page' ELSE 'page without passage' END,
+                    abs(len(ps) - len(source_page)) FROM passages WHERE len(ps) > 1 AND len(ps) <> len(source_page)
+            )
+            SELECT reason, sum(n)::BIGINT AS n_rows FROM lost GROUP BY reason""",
         "closest_paragraph": f"""WITH {CLOSEST} SELECT * REPLACE (round(score, 6) AS score) FROM closest""",
         "similar_paragraphs": f"""WITH {ANNOTATIONS}{SIMILAR} SELECT document, k.f AS annotation_file_name,
             k.r AS annotation_row, text_id, copies, round(score, 8) AS score FROM alike""",
