@@ -87,7 +87,13 @@ def measures(docs: DataFrame, text_column: str = "text") -> DataFrame:
     text = F.coalesce(F.col(text_column), F.lit(""))
     listed = docs.select(F.struct(*docs.columns).alias("row"), words(text).alias("words"), text.alias("text"))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    hashed = listed.select("row", "words", lines.alias("lines"), F.array_join("words", "").alias("joined"), _windows(F.col("words")).alias("windows"))
+    hashed = listed.select(
+        "row",
+        "words",
+        lines.alias("lines"),
+        F.array_join("words", "").alias("joined"),
+        _windows(F.col("words")).alias("windows"),
+    )
     distinct = F.size(F.array_distinct("windows")) == F.size("windows")
     placed = F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
     empty = F.array().cast("array<struct<h:bigint,i:int>>")

@@ -128,7 +128,11 @@ def _scanned(text: Column, formats: Formats, margin: float) -> Column:
 
 
 def secret_spans(
-    docs: DataFrame, formats: Formats | None = None, margin: float = MARGIN, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    formats: Formats | None = None,
+    margin: float = MARGIN,
+    id_column: str = "doc_id",
+    text_column: str = "text",
 ) -> DataFrame:
     """One row per row of `docs`: doc_id, found (array of start, kind, end by start, then kind).
 
@@ -145,7 +149,8 @@ def secret_spans(
 def span_digests(spans: DataFrame) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans of a result of `secret_spans`."""
     name = lambda s: F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1)
-    written = lambda found: F.array_join(F.transform(found, lambda s: F.concat_ws(":", name(s), s["start"], s["end"])), ",")
+    place = lambda s: F.concat_ws(":", name(s), s["start"], s["end"])
+    written = lambda found: F.array_join(F.transform(found, place), ",")
     count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
     base = F.filter("found", lambda s: s["kind"] < 3)
     return spans.select(
@@ -167,7 +172,11 @@ def masked(text: str, spans: list[Span], mask: str = MASK) -> str:
 
 
 def mask_secrets(
-    docs: DataFrame, formats: Formats | None = None, margin: float = MARGIN, text_column: str = "text", length_column: str = "n_chars"
+    docs: DataFrame,
+    formats: Formats | None = None,
+    margin: float = MARGIN,
+    text_column: str = "text",
+    length_column: str = "n_chars",
 ) -> DataFrame:
     """`docs` with every secret in its text replaced by a mask, and n_chars counted anew where there is one.
 
@@ -181,9 +190,13 @@ def mask_secrets(
 
     (new,) = fresh(docs, "masked")
     clean = docs.withColumn(new, mask(F.col(text_column)))
-    length = F.when(F.col(new).eqNullSafe(F.col(text_column)), F.col(length_column)).otherwise(F.length(new).cast("long")) if length_column in docs.columns else None
-    columns = [
-        F.col(new).alias(c) if c == text_column else length.alias(c) if c == length_column else F.col(c)
-        for c in docs.columns
-    ]
-    return clean.select(*columns)
+    changed = ~F.col(new).eqNullSafe(F.col(text_column))
+
+    def column(name: str) -> Column:
+        if name == text_column:
+            return F.col(new).alias(name)
+        if name == length_column:
+            return F.when(changed, F.length(new).cast("long")).otherwise(F.col(name)).alias(name)
+        return F.col(name)
+
+    return clean.select(*map(column, docs.columns))

@@ -235,8 +235,12 @@ def _contexts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
             names = ["gram", "stretch", "n", "anchor", "first", "last", "bytes", "blocks", "common", "whole"]
             yield pd.DataFrame(rows, columns=names)
 
-    joined = texts.join(wanted, ["k1", "k2", "id"]).select("text", *(F.col(f"items.{c}").alias(c) for c in ("gram", "stretch", "n", "place")))
-    schema = "gram long, stretch long, n long, anchor int, first int, last int, bytes binary, blocks array<int>, common array<long>, whole array<long>"
+    fields = (F.col(f"items.{c}").alias(c) for c in ("gram", "stretch", "n", "place"))
+    joined = texts.join(wanted, ["k1", "k2", "id"]).select("text", *fields)
+    schema = (
+        "gram long, stretch long, n long, anchor int, first int, last int, bytes binary, "
+        "blocks array<int>, common array<long>, whole array<long>"
+    )
     return joined.mapInPandas(cut, schema)
 
 
@@ -323,7 +327,9 @@ def repeated_starts(texts: DataFrame, first_ids: DataFrame, batches: int = BATCH
     return equal.unionAll(apart)
 
 
-def remove_repeats(docs: DataFrame, batches: int = BATCHES, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, batches: int = BATCHES, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
     """One row per row of `docs`: doc_id, n_bytes, n_removed, n_spans, kept (null where nothing or
     all of the text stays or goes), kept_sha256.
 

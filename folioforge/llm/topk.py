@@ -132,6 +132,11 @@ def _matrix(values, rows: int, dims: int) -> np.ndarray:
     return np.asarray(values, np.int64).reshape(rows, dims) if dims else np.zeros((rows, 1), np.int64)
 
 
+def _once_each(rows: DataFrame) -> DataFrame:
+    one = rows.where("vec_id is not null").groupBy("vec_id").agg(F.min("q").alias("q"))
+    return one.withColumn("dims", F.size("q"))
+
+
 def _packed(rows: DataFrame, by: list[str]) -> DataFrame:
     each = F.collect_list(F.struct("vec_id", "q"))
     return rows.groupBy("dims", *by).agg(each.alias("members")).select(
@@ -149,8 +154,7 @@ def top_inner_products(
     array; null ids take no part. Blocks of queries meet blocks of rows; a task returns no more
     than `top` rows for a query and a block. Empty tables give no rows.
     """
-    keyed = lambda t: t.where("vec_id is not null").groupBy("vec_id").agg(F.min("q").alias("q")).withColumn("dims", F.size("q"))
-    base, asked = keyed(vectors), keyed(queries)
+    base, asked = _once_each(vectors), _once_each(queries)
     n_base, n_asked = base.count(), asked.count()
     blocks, groups = max(1, -(-n_base // block_rows)), max(1, -(-n_asked // BLOCK_QUERIES))
     lanes = min(lanes, groups)

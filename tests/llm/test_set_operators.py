@@ -280,3 +280,20 @@ def test_pipeline_stages(spark, folder):
             assert all(r.n_chars == len(r.text) for r in rows.values())
     out = corpus_pipeline.run(spark, folder)
     assert {"doc_id", "ids", "n_tokens"} <= set(out.columns) and out.count() > 0
+
+
+def test_pipeline_takes_empty_tables_and_nulls(spark, folder):
+    nothing = (None,) * 5
+    good = " ".join(prose(50, 1, 120))
+    rows = [nothing, nothing, (None, good, None, None, None), (None, good, None, None, None), (7, good + " end", None, None, 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    labels = spark.createDataFrame([(7, 1, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    for name, documents in (("some", rows), ("none", [])):
+        spark.createDataFrame(documents, schema).write.parquet(f"{folder}/{name}/documents.parquet")
+        labels.write.parquet(f"{folder}/{name}/labels.parquet")
+    assert corpus_pipeline.run(spark, f"{folder}/none").count() == 0
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, f"{folder}/some")
+        assert out.count() >= 1, name
+    assert corpus_pipeline.run(spark, f"{folder}/some").count() >= 1
