@@ -9,7 +9,7 @@ from folioforge.operators import annotations as ann
 from folioforge.operators import running
 from folioforge.operators.containment import containing_texts
 from folioforge.operators.dedup import dedup_keep_first
-from folioforge.operators.paragraphs import annotated_only, number_paragraphs, skip_extracted
+from folioforge.operators.paragraphs import number_paragraphs
 from folioforge.operators.splitting import train_val_split
 from folioforge.plans.extraction import extract
 from folioforge.schemas import ANNOTATIONS
