@@ -26,7 +26,8 @@ ANNOTATION_REQUIRED = [
     "relevant_paragraphs",
 ]
 ANNOTATION_COLUMNS = [*ANNOTATION_REQUIRED, "annotator", "sector"]
-# Where a row came from: the file's base name and the row's 0-based place in it.
+# Where a row came from: the file with its folder, which tells files of equal names apart, and
+# the row's 0-based place in it. Training rows show the name alone.
 ANNOTATION_PROVENANCE = ["annotation_file_name", "annotation_row"]
 
 ANNOTATIONS = (

@@ -116,7 +116,7 @@ def annotation_folder(folder):
 def test_annotation_files(spark, folder):
     table = source.read_annotation_csv(spark, annotation_folder(folder))
     got = sorted(
-        (r.annotation_file_name, r.annotation_row, r.sector, r.annotator, r.answer)
+        (os.path.basename(r.annotation_file_name), r.annotation_row, r.sector, r.annotator, r.answer)
         for r in table.collect()
     )
     assert got == [
@@ -127,6 +127,17 @@ def test_annotation_files(spark, folder):
     assert table.first().relevant_paragraphs == '["p", "q"]'
 
 
+def test_files_of_equal_names_are_told_apart(spark, folder):
+    for place in ("one", "two"):
+        Path(folder, place).mkdir()
+        Path(folder, place, "annotation.csv").write_text(f"{HEADER}\n{place},a.pdf,[1],2,2016,x,TEXT,y\n")
+    table = source.read_annotation_csv(spark, f"{folder}/*").collect()
+    assert sorted((r.company, r.annotation_row, r.annotator) for r in table) == [
+        ("one", 0, "annotation.csv"), ("two", 0, "annotation.csv")
+    ]
+    assert len({r.annotation_file_name for r in table}) == 2
+
+
 def test_aggregate_is_saved_and_used_again(spark, folder):
     mapping = read_kpi_mapping(spark, mapping_file(folder))
     saved = f"{folder}/saved.parquet"
@@ -164,7 +175,7 @@ def test_annotations_of_every_format(spark, rows, folder):
     (target / "annotation_other.json").write_text(json.dumps({"company": "c"}))
     (target / "annotation.csv").write_text(f"{HEADER}\n" + ",".join("z" * 8) + "\n")
     got = {
-        (r.annotation_file_name, r.annotation_row, r.company, r.annotator, r.sector)
+        (os.path.basename(r.annotation_file_name), r.annotation_row, r.company, r.annotator, r.sector)
         for r in source.read_annotations(spark, str(target)).collect()
     }
     assert got == {
