@@ -37,6 +37,7 @@ LENGTH = 400
 GRAM = 128
 BLOCK = 16
 BATCHES = 4
+_SALTS = 16
 _STEP = 1 << 17
 _POSITION_BITS = np.uint64((1 << 20) - 1)
 _ROOM = _STEP + 4 * LENGTH + 4 * BLOCK
@@ -289,8 +290,11 @@ def repeated_starts(texts: DataFrame, first_ids: DataFrame, batches: int = BATCH
     equal = shared.join(stretches.where("n > 1").select("gram", "stretch"), ["gram", "stretch"], "left_semi")
     equal = equal.select("k1", "k2", first.alias("first"), last.alias("last"))
 
-    several = _found_twice(stretches, "gram")
-    items = stretches.join(several, "gram", "left_semi").select("gram", "stretch", "n", "member.*")
+    # a passage in very many surroundings is one gram with as many stretches, so these are salted
+    every = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))
+    several = _found_twice(stretches, "gram").select("gram", every.alias("salt"))
+    salted = stretches.withColumn("salt", F.pmod("stretch", F.lit(_SALTS)).cast("int"))
+    items = salted.join(several, ["gram", "salt"], "left_semi").select("gram", "stretch", "n", "member.*")
     wanted = items.groupBy("k1", "k2").agg(F.collect_list(F.struct("gram", "stretch", "n", "place")).alias("items"))
     contexts = _contexts(texts, wanted.join(first_ids, ["k1", "k2"]))
     contexts = cut_lineage(contexts.dropDuplicates(["gram", "stretch"]))
