@@ -171,7 +171,16 @@ def keep_one_per_class(docs: DataFrame, id_column: str = "doc_id", text_column:
             F.col(id_column).alias("doc_id"), fingerprint(F.col(text_column)).alias("fp"), content.alias("code")
         )
     )
-    best = marked.join(classes(marked), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return rows_of_classes(docs, marked, classes(marked), id_column, text_column)
+
+
+def rows_of_classes(
+    docs: DataFrame, marked: DataFrame, classed: DataFrame, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """`marked` has doc_id, fp and code of each row of `docs`, `classed` is (fp, root, component_id).
+    Returns the rows of `docs` that `keep_one_per_class` tells of."""
+    content = F.xxhash64(F.coalesce(F.col(text_column), F.lit("")))
+    best = marked.join(classed, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     code, some, id_, place = fresh(docs, "code", "has_id", "known_id", "place")
     known = [F.coalesce("doc_id", F.lit(0)).alias(id_), F.col("doc_id").isNotNull().alias(some), F.col("code").alias(code)]
     winners = best.groupBy("root", "doc_id").agg(F.min("code").alias("code")).select(*known).distinct()

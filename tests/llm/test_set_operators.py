@@ -12,7 +12,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from folioforge.llm import chat, mixing, simhash, suffix_dedup, topk
+from folioforge.llm import chat, mixing, shingle_sets, simhash, suffix_dedup, topk
 from folioforge.llm.components import connected_components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, fp string, key string, place string"
@@ -103,6 +103,41 @@ def test_near_duplicates_of_nothing_and_of_null_ids(spark):
     assert simhash.keep_one_per_class(spark.createDataFrame(rows, DOCS)).count() == 1
 
 
+def _shingles(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+
+def _similarity(a, b):
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+def test_pipeline_joins_near_duplicates_of_five_words(spark, folder):
+    texts, draw = prose(60, 60, 300), random.Random(61)
+    for t in list(texts[:50]):  # one to six changed words leave similarities of about 0.8 to 0.97
+        for n in range(1, 7):
+            w = t.split()
+            for at in draw.sample(range(len(w)), n):
+                w[at] = f"changed{draw.random()}"
+            texts.append(" ".join(w))
+    chain = prose(62, 1, 300)[0].split()
+    for _ in range(30):  # each is alike to its neighbours only
+        chain = [*chain[12:], *prose(draw.random(), 1, 12)[0].split()]
+        texts.append(" ".join(chain))
+    texts += [None, "", "One", "one", "two words", texts[3], texts[3].upper()]
+    sets = [_shingles(t) for t in texts]
+    links, between = [], 0
+    for a, b in itertools.combinations(range(len(sets)), 2):
+        if _similarity(sets[a], sets[b]) >= 0.8:
+            links.append((a, b))
+            between += _similarity(sets[a], sets[b]) < 0.95
+    roots = _roots(len(sets), links)
+    kept = corpus_pipeline.near_duplicates(spark, build(spark, texts), folder).collect()
+    assert between > 100 and sorted(r.doc_id for r in kept) == sorted(set(roots))
+    far = simhash.keep_one_per_class(build(spark, texts)).count()
+    assert far > len(kept)  # three bits of 3-word fingerprints miss many of these
+
+
 def _best(vectors, every, top):
     q = {i: [math.floor(256 * x) for x in v] for i, v in vectors}
     out = {}
