@@ -9,6 +9,8 @@ Only built-in functions are used.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,8 +18,8 @@ from folioforge.llm.common import words
 
 BUCKETS = 1 << 16
 PRIOR = 20
-#: Trusted documents that the target is counted over.
-SAMPLE = 20_000
+#: Trusted ids that every task gets at a time.
+IDS_AT_ONCE = 1_000_000
 #: Nats per n-gram below which a text is rejected.
 THRESHOLD = -0.06
 LEAST_WORDS = 50
@@ -40,8 +42,25 @@ def _bucket(ngram: Column, buckets: int) -> Column:
     return F.pmod(ngram, F.lit(buckets)).cast("int")
 
 
+def told_apart(docs: DataFrame, trusted: DataFrame, name: str, ids_at_once: int = IDS_AT_ONCE) -> DataFrame:
+    """`docs` and a column `name`: 1 for rows with a trusted doc_id, else null.
+
+    Ids are broadcast, so no text is shuffled. More than about `ids_at_once` are split by a hash into
+    slices, each of which meets the documents of the same hash in a pass of its own.
+    """
+    ids = trusted.select("doc_id").where("doc_id is not null").distinct()
+    slices = max(1, -(-ids.count() // ids_at_once))
+    slice_of = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(slices))
+    parts = []
+    for k in range(slices):
+        some, marks = (docs, ids) if slices == 1 else (docs.where(slice_of == k), ids.where(slice_of == k))
+        marks = F.broadcast(marks.withColumn(name, F.lit(1)))
+        parts.append(some.join(marks, "doc_id", "left").select(*docs.columns, name))
+    return reduce(DataFrame.unionAll, parts)
+
+
 def ratio_table(
-    docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, sample: int = SAMPLE
+    docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, ids_at_once: int = IDS_AT_ONCE
 ) -> DataFrame:
     """One row, one array: the log ratio of each bucket.
 
@@ -49,14 +68,11 @@ def ratio_table(
     the target, so a bucket that is hardly ever seen says little.
 
     `docs` has doc_id and text, `trusted` the doc_id of target documents. All documents are
-    counted for the corpus, and for the target those of at most `sample` trusted ids, the first
-    by a hash; so the ids that every task gets have a bound, and no text is shuffled. Counts
-    are summed before the shuffle and there are `buckets` of them at any size.
+    counted for the corpus, and all trusted ones for the target. Counts are summed before the
+    shuffle and there are `buckets` of them at any size.
     Without trusted documents every bucket falls the lower the more the corpus has of it.
     """
-    ids = trusted.select("doc_id").where("doc_id is not null").distinct()
-    marks = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).withColumn("target", F.lit(1))
-    told = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id", "left")
+    told = told_apart(docs.select("doc_id", "text"), trusted, "target", ids_at_once)
     listed = told.select("target", words(F.col("text")).alias("words"))
     counts = (
         listed.select("target", F.explode(ngrams("words")).alias("ngram"))

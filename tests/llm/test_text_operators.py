@@ -122,6 +122,16 @@ def test_quality_rules_keep_good_documents(spark):
     assert counts.get((1, False), 0) == 0 and counts.get((0, True), 0) <= 1
 
 
+def test_target_is_counted_over_all_trusted_documents(spark):
+    many = spark.range(20_500).selectExpr("id AS doc_id", "'w' || id AS text")
+    ratios = quality_rules.ratio_table(many, many.select("doc_id")).first()["ratios"]
+    assert max(map(abs, ratios)) < 1e-12  # target and corpus are the same
+    few = build(spark, prose(5, 40))
+    trusted = spark.createDataFrame([(i,) for i in range(0, 40, 3)] + [(None,)], "doc_id int")
+    whole, sliced = (quality_rules.ratio_table(few, trusted, 64, n).first()["ratios"] for n in (100, 4))
+    assert whole == pytest.approx(sliced, abs=1e-12) and max(map(abs, whole)) > 0
+
+
 def _secrets_plainly(text):
     found = []
     for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.A | re.I):
