@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import words
+from folioforge.llm.common import fresh, words
 
 BUCKETS = 1 << 16
 PRIOR = 20
@@ -72,6 +72,17 @@ def ratio_table(
     shuffle and there are `buckets` of them at any size.
     Without trusted documents every bucket falls the lower the more the corpus has of it.
     """
+    counts = count_table(docs, trusted, buckets, ids_at_once)
+    share = F.coalesce(F.nullif(F.col("all_t"), F.lit(0)) / F.col("all_r"), F.lit(1.0))
+    ratio = lambda x: F.log((x["t"] + PRIOR * share) / (x["r"] + PRIOR)) - F.log(share)
+    return counts.select(F.transform("each", ratio).alias("ratios"))
+
+
+def count_table(
+    docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, ids_at_once: int = IDS_AT_ONCE
+) -> DataFrame:
+    """One row: each, an array with the counts r of the corpus and t of the target in every bucket, and
+    their sums all_r and all_t."""
     told = told_apart(docs.select("doc_id", "text"), trusted, "target", ids_at_once)
     listed = told.select("target", words(F.col("text")).alias("words"))
     counts = (
@@ -81,12 +92,39 @@ def ratio_table(
     )
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
     full = every.join(counts, "bucket", "left").fillna(0, ["r", "t"])
-    one = full.agg(
-        F.sum("r").alias("all_r"), F.sum("t").alias("all_t"), F.collect_list(F.struct("bucket", "r", "t")).alias("each")
+    each = F.array_sort(F.collect_list(F.struct("bucket", "r", "t"))).alias("each")
+    return full.agg(F.sum("r").alias("all_r"), F.sum("t").alias("all_t"), each)
+
+
+def _listed(numbers: list) -> Column:
+    return F.split(F.lit(",".join(map(repr, numbers))), ",")
+
+
+def _others_score(counts: Row, ngrams_column: str, target: str, buckets: int) -> Column:
+    """Mean log ratio of a row's n-grams by the counts of all other rows.
+
+    The row's own n-grams are taken out of the corpus and, where `target` is set, out of the target.
+    Its buckets are sorted, and a run of equal ones is looked up once.
+    """
+    r, t = (_listed([x[k] for x in counts["each"]]).cast("array<bigint>") for k in ("r", "t"))
+    in_target, own = F.coalesce(F.col(target), F.lit(0)), F.size(ngrams_column)
+    all_t, all_r = F.lit(counts["all_t"]) - in_target * own, F.lit(counts["all_r"]) - own
+    share = F.coalesce(F.nullif(all_t, F.lit(0)) / F.nullif(all_r, F.lit(0)), F.lit(1.0))
+
+    def with_run(acc: Column) -> Column:
+        b, c = acc["b"], acc["c"]
+        ratio = (F.get(t, b) - in_target * c + PRIOR * share) / (F.get(r, b) - c + PRIOR)
+        return acc["sum"] + F.when(c == 0, F.lit(0.0)).otherwise(c * F.log(ratio))
+
+    def run(b: Column, c: Column, total: Column) -> Column:
+        return F.struct(b.alias("b"), c.alias("c"), total.alias("sum"))
+
+    step = lambda acc, b: F.when(acc["b"] == b, run(b, acc["c"] + 1, acc["sum"])).otherwise(
+        run(b, F.lit(1), with_run(acc))
     )
-    share = F.coalesce(F.nullif(F.col("all_t"), F.lit(0)) / F.col("all_r"), F.lit(1.0))
-    ratio = lambda x: F.log((x["t"] + PRIOR * share) / (x["r"] + PRIOR)) - F.log(share)
-    return one.select(F.transform(F.array_sort("each"), ratio).alias("ratios"))
+    sorted_buckets = F.sort_array(F.transform(ngrams_column, lambda x: _bucket(x, buckets)))
+    total = F.aggregate(sorted_buckets, run(F.lit(-1), F.lit(0), F.lit(0.0)), step, with_run)
+    return total / F.greatest(own, F.lit(1)) - F.when(own > 0, F.log(share)).otherwise(0.0)
 
 
 def _windows(array: Column) -> Column:
@@ -140,6 +178,7 @@ def judged(
     threshold: float = THRESHOLD,
     buckets: int = BUCKETS,
     text_column: str = "text",
+    leave_out: bool = False,
 ) -> DataFrame:
     """`docs` packed as `row`, with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, score and kept.
@@ -148,18 +187,27 @@ def judged(
     kept; the others are if their score, the mean log ratio per n-gram, reaches the threshold. The
     score of a text without words is 0. The two counts and the verdicts cover every row alike;
     no rows give no rows.
+
+    With `leave_out` a row is scored by the counts of the other rows, so that a clean text is not
+    rejected for n-grams that only it has, whether it is in the target or not and at any size.
     """
-    # one number per bucket, so the driver gets the same amount at any size
-    table = ratio_table(docs, trusted, buckets).first()["ratios"]
-    ratios = F.split(F.lit(",".join(map(repr, table))), ",").cast("array<double>")
-    figures = measures(docs, text_column).withColumn("ngrams", ngrams("words"))
-    total = F.aggregate("ngrams", F.lit(0.0), lambda acc, x: acc + F.get(ratios, _bucket(x, buckets)))
+    # a few numbers per bucket, so the driver gets the same amount at any size
+    if leave_out:
+        (target,) = fresh(docs, "target")
+        told = measures(told_apart(docs, trusted, target), text_column).withColumn("ngrams", ngrams("words"))
+        score = _others_score(count_table(docs, trusted, buckets).first(), "ngrams", f"row.{target}", buckets)
+        figures = told.withColumn("score", score).withColumn("row", F.struct(*(F.col("row")[c].alias(c) for c in docs.columns)))
+    else:
+        ratios = _listed(ratio_table(docs, trusted, buckets).first()["ratios"]).cast("array<double>")
+        figures = measures(docs, text_column).withColumn("ngrams", ngrams("words"))
+        total = F.aggregate("ngrams", F.lit(0.0), lambda acc, x: acc + F.get(ratios, _bucket(x, buckets)))
+        figures = figures.withColumn("score", total / F.greatest(F.size("ngrams"), F.lit(1)))
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")
     )
     scored = figures.select(
         "row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
-        (total / F.greatest(F.size("ngrams"), F.lit(1))).alias("score"),
+        "score",
     )
     kept = scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
     # counted, and so computed before any filter on `kept`: pushed below the arrays of words, such a

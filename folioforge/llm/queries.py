@@ -31,7 +31,7 @@ def op4_role_repair(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     trusted = quality_rules.trusted_by_labels(table(spark, folder, "labels"))
-    return quality_rules.judged(table(spark, folder, "documents"), trusted).selectExpr(
+    return quality_rules.judged(table(spark, folder, "documents"), trusted, leave_out=True).selectExpr(
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"
     )
 

@@ -122,6 +122,39 @@ def test_quality_rules_keep_good_documents(spark):
     assert counts.get((1, False), 0) == 0 and counts.get((0, True), 0) <= 1
 
 
+def test_documents_are_scored_by_the_counts_of_others(spark):
+    import math
+
+    texts = EDGES + prose(3, 30, 80) + ["a b c " * 40 + "d"]
+    texts += [texts[20]]
+    grams = [_grams(t) for t in texts]
+    raw = collections.Counter(g for x in grams for g in x)
+    target = collections.Counter(g for x in grams[12:30] for g in x)
+    trusted = spark.createDataFrame([(i,) for i in range(12, 30)] + [(None,)], "doc_id long")
+    got = quality_rules.judged(build(spark, texts), trusted, leave_out=True).collect()
+    assert len(got) == len(texts) and got[0].row.asDict().keys() == set(build(spark, []).columns)
+    for row in got:
+        own = collections.Counter(grams[row.row.doc_id])
+        r, t = raw.copy(), target.copy()
+        r.subtract(own)
+        if 12 <= row.row.doc_id < 30:
+            t.subtract(own)
+        share = sum(t.values()) / sum(r.values())
+        ratio = lambda g: math.log((t[g] + quality_rules.PRIOR * share) / (r[g] + quality_rules.PRIOR) / share)
+        assert row.score == pytest.approx(sum(n * ratio(g) for g, n in own.items()) / max(1, sum(own.values())), abs=1e-9)
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_good_documents_outside_the_target_fare_like_those_in_it(spark, size):
+    labels = table(spark, f"/root/testdata/{size}", "labels")
+    trusted = quality_rules.trusted_by_labels(labels).where("doc_id % 2 = 0")
+    judged = quality_rules.judged(table(spark, f"/root/testdata/{size}", "documents"), trusted, leave_out=True)
+    good = judged.where("not base_failed").select("row.doc_id", "kept").join(labels.where("quality = 1"), "doc_id")
+    kept = {r[0]: r[1] for r in good.groupBy(good.doc_id % 2).agg({"kept": "count_if", "*": "count"}).selectExpr(
+        "`(doc_id % 2)`", "`count_if(kept)` / `count(1)`").collect()}
+    assert kept[0] < 1 and abs(kept[0] - kept[1]) < 0.15
+
+
 def test_target_is_counted_over_all_trusted_documents(spark):
     many = spark.range(20_500).selectExpr("id AS doc_id", "'w' || id AS text")
     ratios = quality_rules.ratio_table(many, many.select("doc_id")).first()["ratios"]
