@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioforge.llm import bpe_codec, mixing, quality_rules, secret_scan, shingle_sets
+from folioforge.llm import bpe_codec, mixing, quality_rules, secret_scan, simhash
 from folioforge.session import cut_lineage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -19,8 +19,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: Jaccard similarity of 0.8 over 5-word shingles."""
-    return shingle_sets.keep_one_per_class(docs)
+    """One document of each group of near-duplicates stays: fingerprints of 3-word shingles, linked at 3 or
+    fewer differing bits."""
+    return simhash.keep_one_per_class(docs)
 
 
 def secret_masks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +41,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality),
-    ("near-duplicates", near_duplicates),
+    ("SimHash near-dedup", near_duplicates),
     ("secret scans", secret_masks),
     ("source mixing", source_mix),
     ("encoding", encode),

@@ -64,16 +64,27 @@ def cut_lineage(rows: DataFrame, folder: str | None = None) -> DataFrame:
     behind the table are dropped once it is written; the table itself stays until
     `drop_tables` or the end of the process.
     """
-    spark = rows.sparkSession
+    path = new_folder(rows.sparkSession, folder)
+    write_table(rows, path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def new_folder(spark: SparkSession, folder: str | None = None) -> str:
+    """A path in the shared folder that nothing uses; what is written there goes as `cut_lineage`'s tables do."""
     path = f"{shared_folder(spark, folder)}/table-{uuid.uuid4().hex}"
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
+    _tables.append((spark, path))
+    return path
+
+
+def write_table(rows: DataFrame, path: str) -> None:
+    """Write `rows` as Parquet to `path`; the shuffle files behind them go once that is done."""
+    conf = rows.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
     try:
         rows.write.parquet(path)
     finally:
-        spark.conf.set(_CLEANUP, before)
-    _tables.append((spark, path))
-    return spark.read.schema(rows.schema).parquet(path)
+        conf.set(_CLEANUP, before)
 
 
 def drop_table(rows: DataFrame) -> None:
