@@ -7,8 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from folioforge.llm import bpe_codec, chat, mixing, pairwise, quality_rules, secret_scan, simhash, suffix_dedup, token_counts, topk
+from folioforge.llm import (
+    bpe_codec,
+    chat,
+    mixing,
+    pairwise,
+    periodic_runs,
+    pivot_clusters,
+    quality_rules,
+    secret_scan,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    token_files,
+    topk,
+)
 from folioforge.llm.common import table
+from folioforge.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,13 +65,28 @@ def op8_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(table(spark, folder, "documents")).drop("kept")
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents"))
 
 
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"))
 
 
+def op11_laesa_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return pivot_clusters.cluster_digests(pivot_clusters.cluster(table(spark, folder, "embeddings")))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = periodic_runs.with_cycles(table(spark, folder, "documents"))
+    return periodic_runs.run_digests(periodic_runs.collapse_runs(docs))
+
+
+def op13_elias_fano_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_folder(spark)
+    token_files.write_token_files(table(spark, folder, "documents"), path)
+    return token_files.document_digests(token_files.read_token_files(spark, path))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
@@ -72,6 +102,9 @@ _QUERIES: list[Query] = [
     op8_source_mixing,
     op9_suffix_dedup,
     op10_token_counts,
+    op11_laesa_clusters,
+    op12_periodic_runs,
+    op13_elias_fano_files,
     pipeline,
 ]
 
@@ -131,10 +164,48 @@ SELECT doc_id, size, source_size, target,
 FROM r
 """
 
+#: Rounds of assignment and floored means, written out; x // y of DuckDB cuts towards zero.
+_NEAREST = """
+a{k} AS (
+  SELECT row_id, q, arg_min(c, d * 16 + c) AS c, min(d) AS d FROM (
+    SELECT v.row_id, v.q, m.c,
+      CAST(list_sum(list_transform(list_zip(v.q, m.q), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+    FROM v, m{k} m) GROUP BY row_id, q
+)"""
+_MEANS = """,
+s{k} AS (
+  SELECT c, i, CAST(sum(q[i]) AS BIGINT) AS s, count(*) AS n
+  FROM a{k}, range(1, 65) r(i) GROUP BY c, i
+), m{j} AS (
+  SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS q FROM s{k} GROUP BY c
+  UNION ALL SELECT c, q FROM m{k} WHERE c NOT IN (SELECT c FROM s{k})
+),"""
+_OP11 = (
+    """
+WITH v AS (
+  SELECT row_number() OVER () AS row_id, vec_id,
+    list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), m0 AS (
+  SELECT row_number() OVER (ORDER BY h, q) - 1 AS c, q
+  FROM (SELECT sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, q FROM v ORDER BY h, q LIMIT 16)
+),"""
+    + "".join(_NEAREST.format(k=k) + _MEANS.format(k=k, j=k + 1) for k in range(3))
+    + _NEAREST.format(k=3)
+    + """, t AS (
+  SELECT c, CAST(sum(d) AS BIGINT) AS cluster_inertia, CAST(sum(sum(d)) OVER () AS BIGINT) AS inertia FROM a3 GROUP BY c
+)
+SELECT v.vec_id, CAST(a.c AS INTEGER) AS cluster, a.d AS distance, cluster_inertia, inertia,
+  sha256(array_to_string(m.q, ',')) AS centroid_sha256
+FROM a3 a JOIN v ON v.row_id = a.row_id JOIN m3 m ON m.c = a.c JOIN t ON t.c = a.c
+"""
+)
+
 
 def queries() -> dict[str, Query]:
     return {q.__name__: q for q in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_bit_sliced_top_k": _OP2, "op8_source_mixing": _OP8}
+    return {"op2_bit_sliced_top_k": _OP2, "op8_source_mixing": _OP8, "op11_laesa_clusters": _OP11}

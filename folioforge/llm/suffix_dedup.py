@@ -334,8 +334,8 @@ def repeated_starts(texts: DataFrame, first_ids: DataFrame, batches: int = BATCH
 def remove_repeats(
     docs: DataFrame, batches: int = BATCHES, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_bytes, n_removed, n_spans, kept (null where nothing or
-    all of the text stays or goes), kept_sha256.
+    """One row per row of `docs`: doc_id, n_bytes, n_removed, n_spans, n_kept (bytes that stay), kept (what
+    stays, where something goes; null where the text stays as it is), kept_sha256.
 
     A null text counts as empty. Matches never cross texts. A text of 400 bytes or more with a copy
     goes whole; so do repeated rows of that size. Shorter texts stay. No rows give no rows.
@@ -383,6 +383,7 @@ def remove_repeats(
         "n_bytes",
         F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(whole, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        "kept",
+        F.when(whole, F.lit(0)).otherwise(F.col("n_bytes") - F.coalesce(F.col("n_removed"), F.lit(0))).cast("long").alias("n_kept"),
+        F.when(whole, F.lit("").cast("binary")).otherwise(F.col("kept")).alias("kept"),
         F.lower(F.hex(F.when(whole, empty).otherwise(F.coalesce("kept_sha", "sha")))).alias("kept_sha256"),
     )
