@@ -11,6 +11,7 @@ document; the ids.
 
 from __future__ import annotations
 
+import functools
 import struct
 import uuid
 from collections.abc import Iterator
@@ -45,20 +46,32 @@ _MANIFEST = "part int, shard int, file string, n_docs long, n_ids long"
 class _Ids(dict):
     """Ids of the text between two blanks, packed; made when first asked for."""
 
-    def __init__(self, vocabulary: Vocabulary, kind: str):
+    def __init__(self, vocabulary: Vocabulary, width: int):
         super().__init__()
-        self.vocabulary, self.kind, self._model = vocabulary, kind, vocabulary.tokenizer.model
+        self.vocabulary, self.width, self._tokenize = vocabulary, width, vocabulary.tokenizer.model.tokenize
+        known = [*vocabulary.ids.values(), *vocabulary.special.values()]
+        self.packed = [i.to_bytes(width, "little") for i in range(max(known) + 1)]
+
+    def _piece(self, symbols: str) -> bytes:
+        return b"".join([self.packed[t.id] for t in self._tokenize(symbols)])
 
     def __missing__(self, chunk: str) -> bytes:
-        v, ids = self.vocabulary, []
-        for piece in v.pieces(v.normalise(chunk)):
-            ids += [t.id for t in self._model.tokenize(v.in_symbols(piece))]
-        packed = np.array(ids, self.kind).tobytes()
+        v = self.vocabulary
+        if chunk.isascii() and chunk.isalpha():  # a single piece, whose letters stand for themselves
+            ids = self._piece(chunk.lower())
+        else:
+            ids = b"".join([self._piece(v.in_symbols(p)) for p in v.pieces(v.normalise(chunk))])
         if len(chunk) <= _SHORT:
             if len(self) >= REMEMBERED:
                 self.clear()
-            self[chunk] = packed
-        return packed
+            self[chunk] = ids
+        return ids
+
+
+@functools.lru_cache(maxsize=2)
+def _remembered(path: str, width: int) -> _Ids:
+    """Kept by the worker process, so its later tasks find what the earlier ones have made."""
+    return _Ids(load(path), width)
 
 
 def packed_ids(text: str, known: _Ids) -> bytes:
@@ -66,7 +79,7 @@ def packed_ids(text: str, known: _Ids) -> bytes:
     v, out = known.vocabulary, []
     for special, part in v.parts(text):
         if special:
-            out.append(np.array([v.special[part]], known.kind).tobytes())
+            out.append(known.packed[v.special[part]])
         else:
             out += map(known.__getitem__, part.replace("\n", " ").split(" "))
     return b"".join(out)
@@ -157,7 +170,7 @@ def write_token_files(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = load(vocabulary_file)
         width = _id_bytes(vocabulary, end_id)
-        known, end = _Ids(vocabulary, f"<u{width}"), end_id.to_bytes(width, "little")
+        known, end = _remembered(vocabulary_file, width), end_id.to_bytes(width, "little")
         store, folder = _files(f"{place}/files")
         part, done = TaskContext.get().partitionId(), []
         doc_ids, lengths, held = [], [], []
