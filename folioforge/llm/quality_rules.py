@@ -39,6 +39,8 @@ def ngrams(word_list: str) -> Column:
 
 
 def _bucket(ngram: Column, buckets: int) -> Column:
+    if buckets & (buckets - 1) == 0:  # never null, so arrays of buckets are sorted as plain numbers
+        return ngram.bitwiseAND(F.lit(buckets - 1)).cast("int")
     return F.pmod(ngram, F.lit(buckets)).cast("int")
 
 
@@ -100,20 +102,24 @@ def _listed(numbers: list) -> Column:
     return F.split(F.lit(",".join(map(repr, numbers))), ",")
 
 
-def _others_score(counts: Row, ngrams_column: str, target: str, buckets: int) -> Column:
-    """Mean log ratio of a row's n-grams by the counts of all other rows.
+def _others_score(rows: DataFrame, counts: Row, target: str, buckets: int) -> DataFrame:
+    """Adds score, the mean log ratio of a row's n-grams by the counts of all other rows.
 
     The row's own n-grams are taken out of the corpus and, where `target` is set, out of the target.
-    Its buckets are sorted, and a run of equal ones is looked up once.
+    Its buckets are sorted, and a run of equal ones is looked up once. What is the same for all of a row's
+    n-grams is a column of its own, so it is not worked out anew for each.
     """
     r, t = (_listed([x[k] for x in counts["each"]]).cast("array<bigint>") for k in ("r", "t"))
-    in_target, own = F.coalesce(F.col(target), F.lit(0)), F.size(ngrams_column)
-    all_t, all_r = F.lit(counts["all_t"]) - in_target * own, F.lit(counts["all_r"]) - own
+    rows = rows.withColumns({"own": F.size("ngrams"), "inside": F.coalesce(F.col(target), F.lit(0)).cast("int")})
+    all_t, all_r = F.lit(counts["all_t"]) - F.col("inside") * F.col("own"), F.lit(counts["all_r"]) - F.col("own")
     share = F.coalesce(F.nullif(all_t, F.lit(0)) / F.nullif(all_r, F.lit(0)), F.lit(1.0))
+    rows = rows.withColumn("share", share)
+    sorted_buckets = F.sort_array(F.transform("ngrams", lambda x: _bucket(x, buckets)))
+    rows = rows.withColumns({"added": PRIOR * F.col("share"), "buckets": sorted_buckets})
 
     def with_run(acc: Column) -> Column:
         b, c = acc["b"], acc["c"]
-        ratio = (F.get(t, b) - in_target * c + PRIOR * share) / (F.get(r, b) - c + PRIOR)
+        ratio = (F.get(t, b) - F.col("inside") * c + F.col("added")) / (F.get(r, b) - c + PRIOR)
         return acc["sum"] + F.when(c == 0, F.lit(0.0)).otherwise(c * F.log(ratio))
 
     def run(b: Column, c: Column, total: Column) -> Column:
@@ -122,15 +128,15 @@ def _others_score(counts: Row, ngrams_column: str, target: str, buckets: int) ->
     step = lambda acc, b: F.when(acc["b"] == b, run(b, acc["c"] + 1, acc["sum"])).otherwise(
         run(b, F.lit(1), with_run(acc))
     )
-    sorted_buckets = F.sort_array(F.transform(ngrams_column, lambda x: _bucket(x, buckets)))
-    total = F.aggregate(sorted_buckets, run(F.lit(-1), F.lit(0), F.lit(0.0)), step, with_run)
-    return total / F.greatest(own, F.lit(1)) - F.when(own > 0, F.log(share)).otherwise(0.0)
+    total = F.aggregate("buckets", run(F.lit(-1), F.lit(0), F.lit(0.0)), step, with_run)
+    score = total / F.greatest(F.col("own"), F.lit(1)) - F.when(F.col("own") > 0, F.log("share")).otherwise(0.0)
+    return rows.withColumn("score", score)
 
 
-def _windows(array: Column) -> Column:
-    """Hashes of the 3-word windows, in order."""
-    heads = F.slice(array, 1, F.greatest(F.size(array) - 2, F.lit(0)))
-    return F.transform(heads, lambda w, i: F.xxhash64(w, F.get(array, i + 1), F.get(array, i + 2)))
+def _windows(hashes: Column) -> Column:
+    """Hashes of the 3-word windows, in order, from those of the words."""
+    heads = F.slice(hashes, 1, F.greatest(F.size(hashes) - 2, F.lit(0)))
+    return F.transform(heads, lambda h, i: F.xxhash64(h, F.get(hashes, i + 1), F.get(hashes, i + 2)))
 
 
 def measures(docs: DataFrame, text_column: str = "text") -> DataFrame:
@@ -146,13 +152,14 @@ def measures(docs: DataFrame, text_column: str = "text") -> DataFrame:
         "words",
         lines.alias("lines"),
         F.array_join("words", "").alias("joined"),
-        _windows(F.col("words")).alias("windows"),
+        F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
     )
+    hashed = hashed.withColumn("windows", _windows(F.col("hashes"))).drop("hashes")
     distinct = F.size(F.array_distinct("windows")) == F.size("windows")
     placed = F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
     empty = F.array().cast("array<struct<h:bigint,i:int>>")
     ordered = hashed.select(
-        "row", "words", "lines", "joined", F.when(distinct, empty).otherwise(F.array_sort(placed)).alias("placed")
+        "row", "words", "lines", "joined", F.when(distinct, empty).otherwise(F.sort_array(placed)).alias("placed")
     )
     near = lambda i, step: F.get(F.col("placed"), i + step)["h"]
     repeated = F.filter(
@@ -195,8 +202,8 @@ def judged(
     if leave_out:
         (target,) = fresh(docs, "target")
         told = measures(told_apart(docs, trusted, target), text_column).withColumn("ngrams", ngrams("words"))
-        score = _others_score(count_table(docs, trusted, buckets).first(), "ngrams", f"row.{target}", buckets)
-        figures = told.withColumn("score", score).withColumn("row", F.struct(*(F.col("row")[c].alias(c) for c in docs.columns)))
+        scored = _others_score(told, count_table(docs, trusted, buckets).first(), f"row.{target}", buckets)
+        figures = scored.withColumn("row", F.struct(*(F.col("row")[c].alias(c) for c in docs.columns)))
     else:
         ratios = _listed(ratio_table(docs, trusted, buckets).first()["ratios"]).cast("array<double>")
         figures = measures(docs, text_column).withColumn("ngrams", ngrams("words"))
