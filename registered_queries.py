@@ -100,6 +100,18 @@ def crowded_containment(spark, folder):
     return hits.groupBy("pdf_name", "unique_paragraph_id").agg(F.count("*").alias("n_pieces"))
 
 
+@register
+def short_containment(spark, folder):
+    """Strings of one and two characters sought in all paragraphs of their document."""
+    texts = views.paragraphs(spark, folder).select("pdf_name", "unique_paragraph_id", "paragraph")
+    pieces = F.explode(F.array(F.substring("paragraph", 4, 1), F.substring("paragraph", 9, 2)))
+    strings = texts.select("pdf_name", pieces.alias("piece")).distinct()
+    hits = containing_texts(strings, texts, ["pdf_name"], "piece", "paragraph", F.col("unique_paragraph_id"))
+    return hits.groupBy("pdf_name", "piece").agg(
+        F.count("*").alias("n_paragraphs"), F.min("unique_paragraph_id").alias("first_paragraph")
+    )
+
+
 @register
 def skip_extracted_documents(spark, folder):
     """Documents with a label count as extracted before."""

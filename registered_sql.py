@@ -614,6 +614,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT pdf_name, unique_paragraph_id, count(*) AS n_pieces
             FROM placed JOIN strings ON placed.lang = strings.lang AND contains(paragraph, piece)
             GROUP BY pdf_name, unique_paragraph_id""",
+        "short_containment": f"""WITH {PARAGRAPHS},
+            strings AS (SELECT DISTINCT pdf_name, substr(paragraph, 4, 1) AS piece FROM paragraphs
+                UNION SELECT DISTINCT pdf_name, substr(paragraph, 9, 2) FROM paragraphs)
+            SELECT pdf_name, piece, count(*) AS n_paragraphs, min(unique_paragraph_id) AS first_paragraph
+            FROM paragraphs JOIN strings USING (pdf_name) WHERE contains(paragraph, piece)
+            GROUP BY pdf_name, piece""",
         "skip_extracted_documents": f"""WITH {PAGES}{PAGE_ROWS} SELECT pdf_name, page, text FROM page_rows
             WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
         "annotated_documents_only": f"""WITH {PAGES}{PAGE_ROWS} SELECT pdf_name, page, text FROM page_rows
