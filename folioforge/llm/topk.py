@@ -27,11 +27,16 @@ BLOCK_QUERIES = 64
 LEFT_OUT = 3
 #: Tasks that share a block of rows.
 LANES = 16
+#: Components reach no further, so that products of a thousand components can be summed exactly.
+LARGEST = 1 << 26
 
 
 def quantised(vector: Column, scale: int = SCALE) -> Column:
-    """floor(scale * x) of every component."""
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long"))
+    """floor(scale * x) of every component. One of `LARGEST` or more stops the job, as scores must fit 64 bits."""
+    wide = lambda x: x.cast("double") * scale
+    refused = F.raise_error(F.lit(f"a component times {scale} is {LARGEST} or more")).cast("array<bigint>")
+    whole = F.transform(vector, lambda x: F.floor(wide(x)).cast("long"))
+    return F.when(F.exists(vector, lambda x: F.abs(wide(x)) >= LARGEST), refused).otherwise(whole)
 
 
 def usable(vector: Column) -> Column:
@@ -132,9 +137,11 @@ def _matrix(values, rows: int, dims: int) -> np.ndarray:
     return np.asarray(values, np.int64).reshape(rows, dims) if dims else np.zeros((rows, 1), np.int64)
 
 
-def _once_each(rows: DataFrame) -> DataFrame:
-    one = rows.where("vec_id is not null").groupBy("vec_id").agg(F.min("q").alias("q"))
-    return one.withColumn("dims", F.size("q"))
+def _each_row(rows: DataFrame, top: int) -> DataFrame:
+    """The rows with an id, of equal ones no more than `top`: more of them cannot reach any result."""
+    equal = rows.where("vec_id is not null").groupBy("vec_id", "q").agg(F.count("*").alias("n"))
+    copies = F.explode(F.sequence(F.lit(1), F.least("n", F.lit(top)).cast("int"))).alias("copy")
+    return equal.select("vec_id", "q", copies).withColumn("dims", F.size("q"))
 
 
 def _packed(rows: DataFrame, by: list[str]) -> DataFrame:
@@ -150,15 +157,15 @@ def top_inner_products(
     """Both have vec_id and q, an array of longs. Returns query_id, rank, vec_id, score.
 
     A query meets all vectors of its own number of components but those of its own id; with
-    fewer than `top` of them it gets all. Rows that repeat an id count once, with the smallest
-    array; null ids take no part. Blocks of queries meet blocks of rows; a task returns no more
+    fewer than `top` of them it gets all. Rows that repeat an id are rows of their own, as vectors and
+    as queries; the queries of one id are ranked together. Null ids take no part. Blocks of queries meet blocks of rows; a task returns no more
     than `top` rows for a query and a block. Empty tables give no rows.
     """
-    base, asked = _once_each(vectors), _once_each(queries)
+    base, asked = _each_row(vectors, top), _each_row(queries, top)
     n_base, n_asked = base.count(), asked.count()
     blocks, groups = max(1, -(-n_base // block_rows)), max(1, -(-n_asked // BLOCK_QUERIES))
     lanes = min(lanes, groups)
-    dealt = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
+    dealt = lambda n: F.pmod(F.xxhash64("vec_id", "q", "copy"), F.lit(n)).cast("int")
     index = _packed(base.withColumn("block", dealt(blocks)), ["block"])
     index = index.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
     each = _packed(asked.withColumn("group", dealt(groups)), ["group"]).withColumn("lane", F.col("group") % lanes)
