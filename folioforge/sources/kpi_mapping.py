@@ -28,8 +28,8 @@ def kpi_mapping_table(raw: DataFrame) -> DataFrame:
 
 
 def read_kpi_mapping(spark: SparkSession, path: str) -> DataFrame:
-    """Read the catalogue by the names in its header; other columns are ignored."""
-    raw = spark.read.csv(path, header=True, escape='"')
+    """Read the catalogue by the names in its header; other columns are ignored, questions may span lines."""
+    raw = spark.read.csv(path, header=True, escape='"', multiLine=True)
     missing = [name for name in KPI_MAPPING_CSV if name not in raw.columns]
     if missing:
         raise ValueError(f"question catalogue lacks columns: {', '.join(missing)}")

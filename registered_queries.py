@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioforge import sample_views as views
@@ -18,11 +18,19 @@ from folioforge.operators.report import extraction_report, extraction_totals
 from folioforge.operators.splitting import train_val_split
 from folioforge.plans.question_answering import curate_qa
 from folioforge.plans.relevance import curate_relevance
-from folioforge.schemas import QA_COLUMNS
-from folioforge.session import cut_lineage
-from folioforge.sources.annotations import aggregate_tables
+from folioforge.schemas import ANNOTATION_PROVENANCE, ANNOTATION_REQUIRED, QA_COLUMNS
+from folioforge.session import cut_lineage, new_folder
+from folioforge.sources import exports, extraction_json
+from folioforge.sources.annotations import (
+    aggregate_tables,
+    read_aggregated,
+    read_annotation_csv,
+    read_annotation_json,
+)
 from folioforge.sources.extraction_json import nest_paragraphs, unnest_paragraphs
+from folioforge.sources.kpi_mapping import read_kpi_mapping
 from folioforge.sources.listing import route_by_suffix
+from folioforge.sources.published import published
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SCORE_DIGITS = 6
@@ -351,3 +359,91 @@ def curate_question_answering(spark, folder):
     train, val = curate_qa(v.annotations, v.paragraphs, v.kpi_mapping, v.relevance_scores)
     both = train.withColumn("split", F.lit("train")).unionByName(val.withColumn("split", F.lit("val")))
     return both.withColumn("answer_start", _joined("answer_start"))
+
+
+@register
+def nested_files(spark, folder):
+    """Extraction files written and read back."""
+    place = new_folder(spark)
+    extraction_json.write_extraction_json(views.paragraphs(spark, folder), place, buckets=16)
+    return extraction_json.read_extraction_json(spark, place)
+
+
+@register
+def kpi_mapping_file(spark, folder):
+    """The question catalogue written as the CSV file it is kept in, and read."""
+    place = new_folder(spark)
+    rows = views.kpi_mapping(spark, folder).withColumn("kpi_category", F.array_join("kpi_category", ", "))
+    exports.write_table(rows, place)
+    return read_kpi_mapping(spark, place).withColumn("kpi_category", _joined("kpi_category"))
+
+
+@register
+def relevance_score_files(spark, folder):
+    """Detector scores written as CSV, and read by name."""
+    place = new_folder(spark)
+    scores = views.relevance_scores(spark, folder, views.paragraphs(spark, folder))
+    exports.write_table(scores.select(*reversed(scores.columns), F.lit("x").alias("further")), place)
+    return exports.read_relevance_scores(spark, place).drop("paragraph_relevance_score(for_label=1)")
+
+
+def _annotation_files(spark: SparkSession, folder: str) -> str:
+    """Annotation files of three layouts: with a `Sector`, without annotators, and without answers."""
+    place = new_folder(spark)
+    rows = views.stored(spark, folder).annotations
+    even = F.col("annotation_row") % 2 == 0
+    layouts = {
+        "first": rows.where(even).withColumnRenamed("sector", "Sector").drop(*ANNOTATION_PROVENANCE),
+        "second": rows.where(~even).select(*reversed(ANNOTATION_REQUIRED), F.lit("1").alias("further")),
+        "third": rows.drop("answer", *ANNOTATION_PROVENANCE),
+    }
+    for name, table in layouts.items():
+        exports.write_table(table, f"{place}/{name}")
+    return place
+
+
+@register
+def annotation_files(spark, folder):
+    """CSV annotation files read; the numbers of each file's rows run from 0 without a gap."""
+    rows = read_annotation_csv(spark, f"{_annotation_files(spark, folder)}/*", "part-*.csv")
+    in_file = F.count("*").over(Window.partitionBy("annotation_file_name"))
+    dense = (F.col("annotation_row") >= 0) & (F.col("annotation_row") < in_file)
+    own = F.col("annotator").startswith("part-")
+    return rows.select(
+        *ANNOTATION_REQUIRED, F.when(~own, F.col("annotator")).alias("annotator"), "sector", dense.alias("dense")
+    )
+
+
+@register
+def saved_aggregate(spark, folder):
+    """Clean annotations saved by a first run; the second reads them and not the annotation folder."""
+    v = views.stored(spark, folder)
+    place = new_folder(spark)
+    v.annotations.drop(*ANNOTATION_PROVENANCE).write.json(f"{place}/files")
+    tables = read_annotation_json(spark, f"{place}/files", "part-*.json")
+    ann.clean_annotations(tables, v.kpi_mapping).write.parquet(f"{place}/saved")
+    again = read_aggregated(spark, f"{place}/saved", f"{place}/none", v.kpi_mapping)
+    return again.drop(*ANNOTATION_PROVENANCE).withColumn("source_page", _joined("source_page"))
+
+
+@register
+def relevance_export(spark, folder):
+    """Relevance rows published twice as CSV; the newest complete result is read back."""
+    v = views.stored(spark, folder)
+    rows = cut_lineage(curate_relevance(v.paragraphs, v.annotations, v.kpi_mapping, exact_only=True))
+    place = new_folder(spark)
+    exports.write_relevance(rows.limit(0), place, "first")
+    exports.write_relevance(rows, place, "second")
+    (path,) = published(spark, place).values()
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return exports.read_table(spark, path, columns).withColumn("source_page", _joined("source_page"))
+
+
+@register
+def train_val_export(spark, folder):
+    """Both parts of the answerable examples published as JSON, and read back."""
+    v = views.stored(spark, folder)
+    train, val = curate_qa(v.annotations, v.paragraphs, v.kpi_mapping)
+    place = new_folder(spark)
+    exports.write_train_val(train, val, place)
+    return exports.read_train_val(spark, place).withColumn("answer_start", _joined("answer_start"))

@@ -599,6 +599,16 @@ page_rows AS (
 def oracle_sql() -> dict[str, str]:
     paragraph_columns = "pdf_name, page, page_key, unique_paragraph_id, paragraph, start_index_page, last_index_page"
     train = "round_even(count(*) OVER () * 0.8::DOUBLE, 0)"
+    exact = f"""WITH {SENTENCES} SELECT a.company, a.year, a.source_file,
+            array_to_string(list_transform(string_split(substr(a.source_page, 2, length(a.source_page) - 2), ','),
+                lambda p: (trim(p)::INT - 1)::VARCHAR), ',') AS source_page,
+            x.context, m.question, TRY_CAST(a.kpi_id AS DOUBLE) AS kpi_id, 1 AS label, true AS in_extraction_data_flag,
+            x.unique_paragraph_id, a.annotation_file_name, a.annotation_row + 2 AS annotation_file_row,
+            a.answer AS annotation_answer
+            FROM matched x JOIN annotations a USING (annotation_file_name, annotation_row)
+            LEFT JOIN mapping m ON m.kpi_id = TRY_CAST(a.kpi_id AS DOUBLE)"""
+    mapping = f"""WITH {MAPPING.lstrip(',')} SELECT kpi_id, question, sectors, add_year,
+            array_to_string(kpi_category, ',') AS kpi_category FROM mapping"""
     return {
         "extract_paragraphs": f"WITH {PARAGRAPHS} SELECT {paragraph_columns} FROM paragraphs",
         "nested_roundtrip": f"WITH {PARAGRAPHS} SELECT {paragraph_columns} FROM paragraphs",
@@ -627,8 +637,20 @@ def oracle_sql() -> dict[str, str]:
         "clean_text_qa": f"""WITH first_pass AS (SELECT doc_id, {clean_qa('text')} AS once FROM documents)
             SELECT doc_id, once, {clean_qa('once')} AS twice FROM first_pass""",
         "clean_text_relevance": f"SELECT doc_id, {clean_relevance('text')} AS cleaned FROM documents",
-        "kpi_mapping": f"""WITH {MAPPING.lstrip(',')} SELECT kpi_id, question, sectors, add_year,
-            array_to_string(kpi_category, ',') AS kpi_category FROM mapping""",
+        "kpi_mapping": mapping,
+        "kpi_mapping_file": mapping,
+        "nested_files": f"WITH {PARAGRAPHS} SELECT {paragraph_columns} FROM paragraphs",
+        "relevance_score_files": f"""WITH {PARAGRAPHS}{MAPPING}{SCORES.partition("relevant AS")[0].rstrip().rstrip(",")}
+            SELECT * FROM relevance""",
+        "annotation_files": f"""WITH {ANNOTATIONS} SELECT * EXCLUDE (annotation_file_name, annotation_row) REPLACE (
+            CASE WHEN annotation_row % 2 = 0 THEN annotator END AS annotator,
+            CASE WHEN annotation_row % 2 = 0 THEN sector END AS sector), true AS dense FROM annotations""",
+        "saved_aggregate": f"""WITH {CLEAN_ANNOTATIONS} SELECT * EXCLUDE (annotation_file_name, annotation_row) REPLACE (
+            array_to_string(source_page, ',') AS source_page) FROM clean_annotations""",
+        "train_val_export": f"""WITH {ANSWERABLE} SELECT source_file, paragraph AS context, question,
+            answer AS annotation_answer, {joined('answer_start')} AS answer_start,
+            CASE WHEN row_number() OVER (ORDER BY md5('42|' || answer || '|' || paragraph || '|' || question)) <= {train}
+                THEN 'train' ELSE 'val' END AS split FROM answerable""",
         "aggregate_annotations": f"""WITH {ANNOTATIONS} SELECT * REPLACE (
             CASE WHEN annotation_row % 2 = 0 THEN annotator ELSE annotation_file_name END AS annotator,
             CASE WHEN annotation_row % 2 = 0 THEN sector END AS sector) FROM annotations""",
@@ -689,14 +711,8 @@ def oracle_sql() -> dict[str, str]:
         "negative_candidates": f"WITH {ANNOTATIONS}{SIMILAR} SELECT * FROM candidate_counts",
         "negative_sample": f"WITH {ANNOTATIONS}{SIMILAR}{draws(2)} SELECT * FROM drawn",
         "curate_relevance_full": f"WITH {FULL_RELEVANCE}",
-        "curate_relevance_exact": f"""WITH {SENTENCES} SELECT a.company, a.year, a.source_file,
-            array_to_string(list_transform(string_split(substr(a.source_page, 2, length(a.source_page) - 2), ','),
-                lambda p: (trim(p)::INT - 1)::VARCHAR), ',') AS source_page,
-            x.context, m.question, TRY_CAST(a.kpi_id AS DOUBLE) AS kpi_id, 1 AS label, true AS in_extraction_data_flag,
-            x.unique_paragraph_id, a.annotation_file_name, a.annotation_row + 2 AS annotation_file_row,
-            a.answer AS annotation_answer
-            FROM matched x JOIN annotations a USING (annotation_file_name, annotation_row)
-            LEFT JOIN mapping m ON m.kpi_id = TRY_CAST(a.kpi_id AS DOUBLE)""",
+        "curate_relevance_exact": exact,
+        "relevance_export": exact,
         "curate_question_answering": f"""WITH {ANSWERABLE}{SCORES}{BY_ANSWER},
             all_examples AS (SELECT *, 0 AS rank FROM answerable UNION ALL SELECT *, 1 FROM unanswerable),
             distinct_examples AS (SELECT * FROM (SELECT *, row_number() OVER (
