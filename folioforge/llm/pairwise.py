@@ -124,9 +124,11 @@ def held_out(id_column: Column) -> Column:
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """From at most `sample` labelled documents that are not held out. Labels other than 0 and 1 are left out."""
+    """From at most `sample` labelled documents that are not held out. Labels other than 0 and 1 are left out,
+    and so are ids that have both."""
     known = labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))).select("doc_id", "quality")
-    known = known.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    both = F.min("quality").alias("quality"), F.max("quality").alias("most")
+    known = known.groupBy("doc_id").agg(*both).where("quality = most").drop("most").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     # at most `sample` pairs of numbers
     texts = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
     rows = texts.select("quality", _features(F.coalesce("text", F.lit("")).cast("binary")).alias("f"), "doc_id")
