@@ -3,24 +3,41 @@
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 
 END = ""
 #: Chance of a symbol, or an end, that a state has never seen.
 _UNSEEN = 1e-4
+#: Where an automaton does not know how a string goes on: chance that the run of a symbol goes on there.
+_STAYS = 0.75
+_RUN = re.compile(r"[A-Za-z0-9]+")
+_HEX = re.compile(r"(?=[a-f]*[0-9])(?=[0-9]*[a-f])[0-9a-f]+")
 
 
 def shape(value: str) -> str:
-    """Characters by class: x for a to f, a for other small letters, A, 0; others stand for themselves."""
-    return value.translate(_CLASSES)
+    """Each run of letters and digits by what it is made of, at its length; other characters stand for themselves.
+
+    0 digits, a small letters, A capitals, c letters of both cases, h digits and a to f, l digits and
+    small letters, U digits and capitals, m digits and letters of both cases.
+    """
+    return _RUN.sub(lambda m: _kind(m[0]) * len(m[0]), value)
+
+
+def _kind(run: str) -> str:
+    if run.isdigit():
+        return "0"
+    if run.isalpha():
+        return "a" if run.islower() else "A" if run.isupper() else "c"
+    if run.islower():
+        return "h" if _HEX.fullmatch(run) else "l"
+    return "U" if run.isupper() else "m"
 
 
-_CLASSES = (
-    dict.fromkeys(map(ord, "abcdef"), "x")
-    | dict.fromkeys(map(ord, "ghijklmnopqrstuvwxyz"), "a")
-    | dict.fromkeys(map(ord, "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), "A")
-    | dict.fromkeys(map(ord, "0123456789"), "0")
-)
+def any_string(form: str) -> float:
+    """Log likelihood of a format that no automaton knows: its runs, at the price of an unseen symbol."""
+    stays = sum(a == b for a, b in zip(form, form[1:]))
+    return math.log(_UNSEEN) + stays * math.log(_STAYS) + (len(form) - stays) * math.log(1 - _STAYS)
 
 
 class Automaton:
@@ -97,10 +114,11 @@ class Automaton:
         self.states = len(settled)
 
     def log_likelihood(self, text: str) -> float:
+        """Of the string under the automaton; from where it leaves the known states, of any string's runs."""
         total, state, rare = 0.0, 0, math.log(_UNSEEN)
         for i, symbol in enumerate(text):
             if symbol not in self.next[state]:
-                return total + rare * (len(text) - i)
+                return total + any_string(text[i:])
             total += self._logs[state].get(symbol, rare)
             state = self.next[state][symbol]
         return total + self._logs[state].get(END, rare)

@@ -2,36 +2,46 @@
 
 The values that the rules find are credentials labelled by kind. From a bounded sample of them
 one probabilistic automaton per kind is inferred, and one from strings of the same alphabet that
-no rule labels. Every candidate string is scored by the best log likelihood of its format under a
-kind's automaton, less that under the plain strings' automaton; candidates far enough above become
-spans of kind `format` besides those of the rules.
+no rule labels. Every string of six or more characters of that alphabet outside the rules' spans is
+a candidate; it is scored by the best log likelihood of its format under a kind's automaton, less
+that as a plain string: under the plain strings' automaton, or as runs of any kind if that is more.
+Candidates far enough above become spans of kind `format` besides those of the rules.
 """
 
 from __future__ import annotations
 
+import hashlib
+import heapq
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioforge.llm.automata import Automaton, shape
+from folioforge.llm.automata import Automaton, any_string, shape
 from folioforge.llm.common import fresh
 
 KINDS = ("assign", "access", "hex", "format")
-#: Strings of each kind, and plain ones, that an automaton is inferred from.
+#: Strings of each kind that an automaton is inferred from, and plain ones.
 SAMPLE = 500
+PLAIN_SAMPLE = 2_000
 #: Nats by which a candidate's format must be likelier as a credential.
 MARGIN = 12.0
 MASK = "[SECRET]"
+#: Share of the plain sample up to which a format does not count as plain: unnamed secrets are in it, too.
+_RARE = 1 / 400
+# Strings whose margin a task remembers, and how long they may be.
+_REMEMBERED = 100_000
+_SHORT = 64
 _ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-#: What may be a credential that no rule knows: it holds a digit and a letter.
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+#: Strings of the rules' value alphabet; a rule's value has six characters at least.
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{6,}")
 _NAMES = ("password", "passwd", "secret", "token", "api")
 
 Span = tuple[int, int, int]  # start, kind, end
@@ -59,13 +69,16 @@ def labelled_values(text: str, spans: list[Span]) -> list[tuple[str, str]]:
 
 
 def candidates(text: str, spans: list[Span]) -> list[tuple[int, int]]:
-    """Places of strings that no rule's span touches."""
-    out = []
-    for m in _CANDIDATE.finditer(text):
-        value = m[0]
-        mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
-        if mixed and not any(a < m.end() and m.start() < b for a, _, b in spans):
-            out.append(m.span())
+    """Places of all strings of the alphabet outside the rules' spans, without full stops at their ends."""
+    out, at = [], 0
+    for start, _, end in [*spans, (len(text), 0, len(text))]:
+        for m in _CANDIDATE.finditer(text, at, max(at, start)):
+            a, b = m.span()
+            while b > a and text[b - 1] == ".":
+                b -= 1
+            if b - a >= 6:
+                out.append((a, b))
+        at = max(at, end)
     return out
 
 
@@ -74,46 +87,75 @@ class Formats:
 
     def __init__(self, samples: dict[str, list[str]]):
         self.kinds = [Automaton([shape(v) for v in samples[k]]) for k in KINDS[:3] if samples.get(k)]
-        self.plain = Automaton([shape(v) for v in samples.get("plain", [])])
-        self._known: dict[str, float] = {}
+        forms = Counter(shape(v) for v in samples.get("plain", []))
+        least = _RARE * forms.total()
+        self.plain = Automaton([form for form, n in forms.items() for _ in range(n) if n > least])
+        self._values: dict[str, float] = {}
+        self._forms: dict[str, float] = {}
 
     def margin(self, value: str) -> float:
         """How much likelier the format is as a credential's; below 0 without any known credential."""
+        known = self._values.get(value)
+        if known is not None:
+            return known
         form = shape(value)
-        if form not in self._known:
-            if len(self._known) > 100_000:
-                self._known.clear()
+        if form not in self._forms:
+            if len(self._forms) >= _REMEMBERED:
+                self._forms.clear()
             best = max((a.log_likelihood(form) for a in self.kinds), default=float("-inf"))
-            self._known[form] = best - self.plain.log_likelihood(form)
-        return self._known[form]
+            # what no automaton knows is as likely a plain string's
+            self._forms[form] = best - max(self.plain.log_likelihood(form), any_string(form))
+        if len(value) <= _SHORT:
+            if len(self._values) >= _REMEMBERED:
+                self._values.clear()
+            self._values[value] = self._forms[form]
+        return self._forms[form]
 
     def spans(self, text: str, margin: float = MARGIN) -> list[Span]:
         """All spans of a text, by start, then kind."""
         base = base_spans(text)
+        if not self.kinds:
+            return base
         added = [(a, 3, b) for a, b in candidates(text, base) if self.margin(text[a:b]) >= margin]
         return sorted(base + added)
 
 
-def learn_formats(docs: DataFrame, text_column: str = "text", sample: int = SAMPLE) -> Formats:
-    """Automata from all rows of `docs`: of each kind, and of plain candidates, the `sample` values that
-    come first by a hash, every value once however often it occurs. The driver gets no more than
-    four times that."""
+def learn_formats(
+    docs: DataFrame, text_column: str = "text", sample: int = SAMPLE, plain_sample: int = PLAIN_SAMPLE
+) -> Formats:
+    """Automata from all rows of `docs`: of each kind the `sample` values, and `plain_sample` candidates, that
+    come first by a hash, every value once however often it occurs.
+
+    A batch of rows hands on no more than its own first ones, and the driver gets no more than three
+    times `sample` and one `plain_sample`.
+    """
+    wanted = dict.fromkeys(KINDS[:3], sample) | {"plain": plain_sample}
+
+    def order(value: str) -> bytes:
+        return hashlib.md5(value.encode()).digest()
 
     def values(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = set()
+            found: dict[str, set[str]] = {kind: set() for kind in wanted}
             for text in batch["text"]:
                 base = base_spans(text)
-                found.update(labelled_values(text, base))
-                found.update(("plain", text[a:b]) for a, b in candidates(text, base))
-            yield pd.DataFrame(sorted(found), columns=["kind", "value"], dtype=object)
+                for kind, value in labelled_values(text, base):
+                    found[kind].add(value)
+                found["plain"].update(text[a:b] for a, b in candidates(text, base))
+            rows = [
+                (kind, place, value)
+                for kind, some in found.items()
+                for place, value in heapq.nsmallest(wanted[kind], ((order(v), v) for v in some))
+            ]
+            yield pd.DataFrame(rows, columns=["kind", "place", "value"], dtype=object)
 
     texts = docs.select(F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    found = texts.mapInPandas(values, "kind string, value string").distinct()
-    order = Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value")
-    first = found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample)
+    found = texts.mapInPandas(values, "kind string, place binary, value string").distinct()
+    by_place = Window.partitionBy("kind").orderBy("place", "value")
+    ranked = found.withColumn("rank", F.row_number().over(by_place)).where(F.col("rank") <= max(wanted.values()))
+    limit = F.when(F.col("kind") == "plain", plain_sample).otherwise(sample)
     samples: dict[str, list[str]] = {}
-    for kind, value, _ in first.collect():
+    for kind, value in ranked.where(F.col("rank") <= limit).select("kind", "value").collect():
         samples.setdefault(kind, []).append(value)
     return Formats(samples)
 

@@ -6,6 +6,7 @@ import random
 import re
 import struct
 
+import numpy as np
 import pytest
 import xxhash
 from tokenizers import Tokenizer
@@ -205,6 +206,43 @@ def test_inferred_formats_find_unnamed_secrets(spark):
     assert masked[301].text == texts[301] and secret_scan.mask_secrets(docs).columns == docs.columns
 
 
+def test_unnamed_secrets_among_clean_identifiers(spark):
+    """Eight unnamed secrets of two labelled formats among 3,000 clean strings of six kinds: recall, false alarms."""
+    draw = random.Random(17)
+    text_of = lambda letters, n: "".join(draw.choices(letters, k=n))
+    hexed = lambda: "a1" + text_of("0123456789abcdef", 16)
+    coded = lambda: "key-" + text_of("ABCDEFGHJKLMNPQRSTUVWXYZ23456789", 18) + "7Q"
+    clean = [
+        lambda: text_of("abcdefghijklmnop", draw.randint(6, 14)),
+        lambda: f"{draw.randint(1, 255)}.{draw.randint(1, 255)}.{draw.randint(1, 255)}.{draw.randint(1, 255)}",
+        lambda: f"555-{draw.randint(1000, 9999)}",
+        lambda: text_of("0123456789", 16),
+        lambda: f"www.{text_of('abcdefg', 7)}.com/{text_of('hijkl', 6)}/{draw.randint(1, 99)}",
+        lambda: f"Item{draw.randint(1, 99_999)}",
+    ]
+    texts = [f"secret={draw.choice([hexed, coded])()} {draw.choice(clean)()}" for _ in range(200)]
+    hidden = [kind() for kind in (hexed, coded) for _ in range(4)]
+    texts += [f"{draw.choice(clean)()} {value} {draw.choice(clean)()}." for value in hidden]
+    texts += [" ".join(draw.choice(clean)() for _ in range(10)) for _ in range(300)] + ["", None]
+    rows = secret_scan.secret_spans(build(spark, texts)).orderBy("doc_id").collect()
+    found = [[texts[i][s.start : s.end] for s in r.found if s.kind == 3] for i, r in enumerate(rows)]
+    right = sum(value in some for value, some in zip(hidden, found[200:208]))
+    false = sum(map(len, found)) - right
+    assert right == 8 and false == 0
+
+
+def test_candidates_are_all_strings_outside_the_rules_spans():
+    text = "x token=abcdefg/tail. path/to+it== short a.b.c.d. end"
+    spans = secret_scan.base_spans(text)
+    assert [text[a:b] for a, b in secret_scan.candidates(text, spans)] == ["path/to+it==", "a.b.c.d"]
+    assert secret_scan.candidates("", []) == [] == secret_scan.candidates("......", [])
+
+
+def test_no_labelled_credential_gives_no_format(spark):
+    docs = build(spark, ["1beb58b8af68854f0e", "AKIA short", "", None])
+    assert all(r.found == [] for r in secret_scan.secret_spans(docs).collect())
+
+
 def test_automaton_tells_formats_apart():
     draw = random.Random(3)
     codes = ["".join(draw.choices("0123456789abcdef", k=16)) for _ in range(300)]
@@ -223,6 +261,18 @@ def test_pairwise_quality_on_held_out_rows(spark):
     assert sum(r.quality == r.predicted for r in seen) >= 0.97 * len(seen)
 
 
+def test_ids_with_both_labels_are_left_out(spark):
+    docs = build(spark, prose(3, 60))
+    labels = [(i, i % 2) for i in range(60)]
+    both = labels + [(i, 1 - i % 2) for i in (1, 2, 3)]
+    schema = "doc_id int, quality int"
+    one, other = (
+        pairwise.learn(docs, spark.createDataFrame(some, schema))
+        for some in ([x for x in labels if x[0] not in (1, 2, 3)], both)
+    )
+    assert np.array_equal(one.weights, other.weights) and one.cut == other.cut
+
+
 def test_pairwise_quality_without_labels_of_a_kind(spark):
     docs = build(spark, EDGES + EDGES)
     labels = spark.createDataFrame([(i, 1) for i in range(12)] + [(3, None), (None, 0)], "doc_id long, quality int")
