@@ -57,6 +57,44 @@ def test_tree_concatenation_is_exact(alphabet):
             assert [i for i, _ in encoder.tree(symbols)] == [t.id for t in vocabulary.tokenizer.model.tokenize(symbols)]
 
 
+def test_long_pieces_are_dealt_out_in_shares(spark):
+    """Unsplit pieces longer than a share are joined over rounds of rows, with the library's ids."""
+    tokenizer = Tokenizer.from_file(default_path(bpe_codec.VOCABULARY))
+    draw = random.Random(8)
+    long = lambda letters, n: "".join(draw.choices(letters, k=n))
+    texts = [
+        long("abcdefgh", 3_000),
+        "short words, then " + long("etaoin", 900) + " and " + long("日本語é", 400) + " 12 " + long("01", 700),
+        "a" * 2_000 + "<|endoftext|>" + "ab" * 700,
+        "many short words " * 60,
+        long(" ", 500) + long("xyz", 65),
+        "x",
+        "",
+        None,
+    ]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(0, texts[0]), (None, texts[1])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    path = default_path(bpe_codec.VOCABULARY)
+    parts = bpe_codec._in_parts(docs.where("octet_length(text) > 64"), path, 64)
+    assert parts.where("part = 0").agg({"share": "max"}).first()[0] == 46
+    got = bpe_codec.encode_documents(docs, share=64).collect()
+    found = sorted((r.doc_id is None, r.doc_id or 0, np.frombuffer(r.ids, "<u4").tolist(), r.text) for r in got)
+    expected = []
+    for doc_id, text in rows:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids
+        expected.append((doc_id is None, doc_id or 0, ids, tokenizer.decode(ids, skip_special_tokens=False)))
+    assert found == sorted(expected)
+
+
+def test_tree_is_entered_on_usual_words():
+    vocabulary = load(default_path(bpe_codec.VOCABULARY))
+    encoder, seen = bpe_codec.Encoder(vocabulary), []
+    join = encoder._join
+    encoder._join = lambda *a: seen.append(1) or join(*a)
+    text = "an internationalisation of responsibilities"
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == vocabulary.tokenizer.encode(text).ids and seen
+
+
 def test_counts_equal_the_library(spark):
     tokenizer = Tokenizer.from_file(default_path(token_counts.VOCABULARY))
     texts = EDGES + prose(2, 5) + ["word " * 3000]
