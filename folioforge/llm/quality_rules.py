@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from folioforge.functions.binding import bound
 from folioforge.llm.common import fresh, words
 
 BUCKETS = 1 << 16
@@ -26,13 +27,15 @@ LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 
 
-def ngrams(word_list: str) -> Column:
+def ngrams(word_list: str, hashes: str | None = None) -> Column:
     """Hashes of the words in a column of arrays and of the pairs of neighbouring words, repeats included.
 
+    `hashes` names a column with those of the words, if there is one.
+
     A word's hash is XXH64 with seed 42, a pair's the second word's XXH64 with the first's hash as seed.
     """
     array = F.col(word_list)
-    single = F.transform(array, lambda w: F.xxhash64(w))
+    single = F.col(hashes) if hashes else F.transform(array, lambda w: F.xxhash64(w))
     heads = F.slice(array, 1, F.greatest(F.size(array) - 1, F.lit(0)))
     pairs = F.transform(heads, lambda w, i: F.xxhash64(w, F.get(array, i + 1)))
     return F.concat(single, pairs)
@@ -107,28 +110,30 @@ def _others_score(rows: DataFrame, counts: Row, target: str, buckets: int) -> Da
 
     The row's own n-grams are taken out of the corpus and, where `target` is set, out of the target.
     Its buckets are sorted, and a run of equal ones is looked up once. What is the same for all of a row's
-    n-grams is a column of its own, so it is not worked out anew for each.
+    n-grams is worked out once, and per n-gram only neighbours are compared: a fold that builds its state anew
+    for each took most of the job's time.
     """
-    r, t = (_listed([x[k] for x in counts["each"]]).cast("array<bigint>") for k in ("r", "t"))
+    # as doubles, which hold whole numbers as well and need no casts per n-gram
+    r, t = (_listed([x[k] for x in counts["each"]]).cast("array<double>") for k in ("r", "t"))
     rows = rows.withColumns({"own": F.size("ngrams"), "inside": F.coalesce(F.col(target), F.lit(0)).cast("int")})
     all_t, all_r = F.lit(counts["all_t"]) - F.col("inside") * F.col("own"), F.lit(counts["all_r"]) - F.col("own")
     share = F.coalesce(F.nullif(all_t, F.lit(0)) / F.nullif(all_r, F.lit(0)), F.lit(1.0))
     rows = rows.withColumn("share", share)
     sorted_buckets = F.sort_array(F.transform("ngrams", lambda x: _bucket(x, buckets)))
-    rows = rows.withColumns({"added": PRIOR * F.col("share"), "buckets": sorted_buckets})
+    rows = rows.withColumns({"added": PRIOR * F.col("share"), "buckets": F.concat(sorted_buckets, F.array(F.lit(-1)))})
+    # where a run ends; behind the last bucket stands one that is none
+    ends = F.filter(F.sequence(F.lit(0), F.col("own")), lambda i: F.get("buckets", i) != F.get("buckets", i + 1))
+    rows = rows.withColumn("ends", ends)
+    values = F.transform("ends", lambda i: F.get("buckets", i))
+    counted = F.transform("ends", lambda i, k: (i - F.coalesce(F.get("ends", k - 1), F.lit(-1))).cast("double"))
 
-    def with_run(acc: Column) -> Column:
-        b, c = acc["b"], acc["c"]
-        ratio = (F.get(t, b) - F.col("inside") * c + F.col("added")) / (F.get(r, b) - c + PRIOR)
-        return acc["sum"] + F.when(c == 0, F.lit(0.0)).otherwise(c * F.log(ratio))
+    def summed(inside: Column, added: Column) -> Column:
+        def of_run(b: Column, c: Column) -> Column:
+            return c * F.log((F.get(t, b) - inside * c + added) / (F.get(r, b) - c + F.lit(float(PRIOR))))
 
-    def run(b: Column, c: Column, total: Column) -> Column:
-        return F.struct(b.alias("b"), c.alias("c"), total.alias("sum"))
+        return F.aggregate(F.zip_with(values, counted, of_run), F.lit(0.0), lambda acc, x: acc + x)
 
-    step = lambda acc, b: F.when(acc["b"] == b, run(b, acc["c"] + 1, acc["sum"])).otherwise(
-        run(b, F.lit(1), with_run(acc))
-    )
-    total = F.aggregate("buckets", run(F.lit(-1), F.lit(0), F.lit(0.0)), step, with_run)
+    total = bound(F.col("inside").cast("double"), lambda inside: bound(F.col("added"), lambda added: summed(inside, added)))
     score = total / F.greatest(F.col("own"), F.lit(1)) - F.when(F.col("own") > 0, F.log("share")).otherwise(0.0)
     return rows.withColumn("score", score)
 
@@ -140,7 +145,7 @@ def _windows(hashes: Column) -> Column:
 
 
 def measures(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """Adds to each row, packed as `row`: words, and the figures of the base rules.
+    """Adds to each row, packed as `row`: words, their hashes, and the figures of the base rules.
 
     A null text counts as one without words. Windows are compared by 64-bit hashes.
     """
@@ -154,13 +159,14 @@ def measures(docs: DataFrame, text_column: str = "text") -> DataFrame:
         F.array_join("words", "").alias("joined"),
         F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
     )
-    hashed = hashed.withColumn("windows", _windows(F.col("hashes"))).drop("hashes")
+    hashed = hashed.withColumn("windows", _windows(F.col("hashes")))
     distinct = F.size(F.array_distinct("windows")) == F.size("windows")
     placed = F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
     empty = F.array().cast("array<struct<h:bigint,i:int>>")
     ordered = hashed.select(
-        "row", "words", "lines", "joined", F.when(distinct, empty).otherwise(F.sort_array(placed)).alias("placed")
-    )
+        "row", "words", "hashes", "lines", "joined",
+        F.when(distinct, empty).otherwise(F.sort_array(placed)).alias("placed"),
+    )
     near = lambda i, step: F.get(F.col("placed"), i + step)["h"]
     repeated = F.filter(
         "placed",
@@ -171,6 +177,7 @@ def measures(docs: DataFrame, text_column: str = "text") -> DataFrame:
     return ordered.select(
         "row",
         "words",
+        "hashes",
         F.size("words").cast("long").alias("n_words"),
         n_chars.cast("long").alias("word_chars"),
         (n_chars - F.length(F.regexp_replace("joined", "[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"),
@@ -201,12 +208,12 @@ def judged(
     # a few numbers per bucket, so the driver gets the same amount at any size
     if leave_out:
         (target,) = fresh(docs, "target")
-        told = measures(told_apart(docs, trusted, target), text_column).withColumn("ngrams", ngrams("words"))
+        told = measures(told_apart(docs, trusted, target), text_column).withColumn("ngrams", ngrams("words", "hashes"))
         scored = _others_score(told, count_table(docs, trusted, buckets).first(), f"row.{target}", buckets)
         figures = scored.withColumn("row", F.struct(*(F.col("row")[c].alias(c) for c in docs.columns)))
     else:
         ratios = _listed(ratio_table(docs, trusted, buckets).first()["ratios"]).cast("array<double>")
-        figures = measures(docs, text_column).withColumn("ngrams", ngrams("words"))
+        figures = measures(docs, text_column).withColumn("ngrams", ngrams("words", "hashes"))
         total = F.aggregate("ngrams", F.lit(0.0), lambda acc, x: acc + F.get(ratios, _bucket(x, buckets)))
         figures = figures.withColumn("score", total / F.greatest(F.size("ngrams"), F.lit(1)))
     failed = (F.col("n_words") < LEAST_WORDS) | (

@@ -316,3 +316,13 @@ def test_pairwise_quality_without_labels_of_a_kind(spark):
     labels = spark.createDataFrame([(i, 1) for i in range(12)] + [(3, None), (None, 0)], "doc_id long, quality int")
     got = pairwise.quality_scores(docs, pairwise.learn(docs, labels)).collect()
     assert len(got) == 24 and all(0 <= r.score <= 1 and r.predicted in (0, 1) for r in got)
+
+
+def test_scoring_builds_no_state_for_each_ngram(spark):
+    docs = build(spark, EDGES + ["a b a b a", "z " * 7])
+    judged = quality_rules.judged(docs, docs.select("doc_id").where("doc_id % 2 = 0"), leave_out=True)
+    plan = judged.select("score")._jdf.queryExecution().optimizedPlan().toString()
+    folds = re.findall(r"aggregate\(.{0,200}", plan)
+    assert folds and not any("struct" in fold for fold in folds)
+    # runs of one and of many n-grams, and none
+    assert [r.score is not None for r in judged.collect()] == [True] * docs.count()
