@@ -23,21 +23,22 @@ PRIOR = 20
 IDS_AT_ONCE = 1_000_000
 #: Nats per n-gram below which a text is rejected.
 THRESHOLD = -0.06
+#: More than the words of any text.
+_PLACES = 1 << 31
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 
 
-def ngrams(word_list: str, hashes: str | None = None) -> Column:
-    """Hashes of the words in a column of arrays and of the pairs of neighbouring words, repeats included.
+def ngrams(word_list: str, hashes: str, buckets: int) -> Column:
+    """Buckets of the words in a column of arrays and of the pairs of neighbouring words, repeats included.
 
-    `hashes` names a column with those of the words, if there is one.
-
-    A word's hash is XXH64 with seed 42, a pair's the second word's XXH64 with the first's hash as seed.
+    `hashes` names a column with the hashes of the words. A word's hash is XXH64 with seed 42, a pair's the
+    second word's XXH64 with the first's hash as seed.
     """
     array = F.col(word_list)
-    single = F.col(hashes) if hashes else F.transform(array, lambda w: F.xxhash64(w))
+    single = F.transform(hashes, lambda h: _bucket(h, buckets))
     heads = F.slice(array, 1, F.greatest(F.size(array) - 1, F.lit(0)))
-    pairs = F.transform(heads, lambda w, i: F.xxhash64(w, F.get(array, i + 1)))
+    pairs = F.transform(heads, lambda w, i: _bucket(F.xxhash64(w, F.get(array, i + 1)), buckets))
     return F.concat(single, pairs)
 
 
@@ -90,9 +91,15 @@ def count_table(
     their sums all_r and all_t."""
     told = told_apart(docs.select("doc_id", "text"), trusted, "target", ids_at_once)
     listed = told.select("target", words(F.col("text")).alias("words"))
+    # hashed behind the explode, where Spark compiles expressions; those inside array functions it interprets
+    placed = listed.select("target", "words", F.posexplode("words").alias("place", "word"))
+    after = F.get("words", F.col("place") + 1)
+    pair = F.when(after.isNotNull(), _bucket(F.xxhash64("word", after), buckets))
+    both = F.array(_bucket(F.xxhash64("word"), buckets), pair)
     counts = (
-        listed.select("target", F.explode(ngrams("words")).alias("ngram"))
-        .groupBy(_bucket(F.col("ngram"), buckets).alias("bucket"))
+        placed.select("target", F.explode(both).alias("bucket"))
+        .where("bucket is not null")
+        .groupBy("bucket")
         .agg(F.count("*").alias("r"), F.count("target").alias("t"))
     )
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
@@ -105,35 +112,50 @@ def _listed(numbers: list) -> Column:
     return F.split(F.lit(",".join(map(repr, numbers))), ",")
 
 
-def _others_score(rows: DataFrame, counts: Row, target: str, buckets: int) -> DataFrame:
+def _others_score(rows: DataFrame, counts: Row, target: str) -> DataFrame:
     """Adds score, the mean log ratio of a row's n-grams by the counts of all other rows.
 
     The row's own n-grams are taken out of the corpus and, where `target` is set, out of the target.
-    Its buckets are sorted, and a run of equal ones is looked up once. What is the same for all of a row's
-    n-grams is worked out once, and per n-gram only neighbours are compared: a fold that builds its state anew
-    for each took most of the job's time.
+    Its buckets are sorted, and a run of equal ones is looked up once. Most runs are a single bucket: those are
+    told by their neighbours and summed at once, with all that is the same for a row worked out before. Only
+    the rest, in which buckets stand more than once, is cut into runs.
     """
-    # as doubles, which hold whole numbers as well and need no casts per n-gram
-    r, t = (_listed([x[k] for x in counts["each"]]).cast("array<double>") for k in ("r", "t"))
+    # as doubles, which hold whole numbers as well and need no casts per n-gram; r without one n-gram of the row
+    t = _listed([x["t"] for x in counts["each"]]).cast("array<double>")
+    r = _listed([x["r"] - 1 + PRIOR for x in counts["each"]]).cast("array<double>")
     rows = rows.withColumns({"own": F.size("ngrams"), "inside": F.coalesce(F.col(target), F.lit(0)).cast("int")})
     all_t, all_r = F.lit(counts["all_t"]) - F.col("inside") * F.col("own"), F.lit(counts["all_r"]) - F.col("own")
     share = F.coalesce(F.nullif(all_t, F.lit(0)) / F.nullif(all_r, F.lit(0)), F.lit(1.0))
     rows = rows.withColumn("share", share)
-    sorted_buckets = F.sort_array(F.transform("ngrams", lambda x: _bucket(x, buckets)))
-    rows = rows.withColumns({"added": PRIOR * F.col("share"), "buckets": F.concat(sorted_buckets, F.array(F.lit(-1)))})
-    # where a run ends; behind the last bucket stands one that is none
-    ends = F.filter(F.sequence(F.lit(0), F.col("own")), lambda i: F.get("buckets", i) != F.get("buckets", i + 1))
+    # before the first bucket and behind the last stand ones that are none
+    between = F.concat(F.array(F.lit(-1)), F.sort_array("ngrams"), F.array(F.lit(-2)))
+    rows = rows.withColumns({"added": PRIOR * F.col("share"), "buckets": between})
+    once, often = (bound(F.col("buckets"), f) for f in (
+        lambda all_: F.filter(all_, lambda b, i: (b != F.get(all_, i + 1)) & (b != F.get(all_, i - 1))),
+        lambda all_: F.filter(all_, lambda b, i: (b == F.get(all_, i + 1)) | (b == F.get(all_, i - 1))),
+    ))
+    rows = rows.withColumns({"once": once, "often": F.concat(often, F.array(F.lit(-1)))})
+    # where a run ends
+    ends = F.filter(
+        F.sequence(F.lit(0), F.size("often") - 1), lambda i: F.get("often", i) != F.get("often", i + 1)
+    )
     rows = rows.withColumn("ends", ends)
-    values = F.transform("ends", lambda i: F.get("buckets", i))
+    values = F.transform("ends", lambda i: F.get("often", i))
     counted = F.transform("ends", lambda i, k: (i - F.coalesce(F.get("ends", k - 1), F.lit(-1))).cast("double"))
 
-    def summed(inside: Column, added: Column) -> Column:
+    def of_singles(added: Column) -> Column:
+        return F.aggregate("once", F.lit(0.0), lambda acc, b: acc + F.log((F.get(t, b) + added) / F.get(r, b)))
+
+    def of_runs(inside: Column, added: Column) -> Column:
         def of_run(b: Column, c: Column) -> Column:
-            return c * F.log((F.get(t, b) - inside * c + added) / (F.get(r, b) - c + F.lit(float(PRIOR))))
+            return c * F.log((F.get(t, b) - inside * c + added) / (F.get(r, b) + 1.0 - c))
 
         return F.aggregate(F.zip_with(values, counted, of_run), F.lit(0.0), lambda acc, x: acc + x)
 
-    total = bound(F.col("inside").cast("double"), lambda inside: bound(F.col("added"), lambda added: summed(inside, added)))
+    inside = F.col("inside").cast("double")
+    total = bound(F.col("added") - inside, of_singles) + bound(
+        inside, lambda inside: bound(F.col("added"), lambda added: of_runs(inside, added))
+    )
     score = total / F.greatest(F.col("own"), F.lit(1)) - F.when(F.col("own") > 0, F.log("share")).otherwise(0.0)
     return rows.withColumn("score", score)
 
@@ -161,12 +183,19 @@ def measures(docs: DataFrame, text_column: str = "text") -> DataFrame:
     )
     hashed = hashed.withColumn("windows", _windows(F.col("hashes")))
     distinct = F.size(F.array_distinct("windows")) == F.size("windows")
-    placed = F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
-    empty = F.array().cast("array<struct<h:bigint,i:int>>")
-    ordered = hashed.select(
-        "row", "words", "hashes", "lines", "joined",
-        F.when(distinct, empty).otherwise(F.sort_array(placed)).alias("placed"),
-    )
+    # plain numbers, the first 33 bits of a window's hash and its place, are sorted faster than pairs; only
+    # windows with a neighbour of the same 33 bits may be repeated, and only those are sorted by whole hashes
+    short = F.transform("windows", lambda h, i: h.bitwiseAND(F.lit(-_PLACES)).bitwiseOR(i.cast("long")))
+    empty = F.array().cast("array<bigint>")
+    hashed = hashed.withColumn("short", F.when(distinct, empty).otherwise(F.sort_array(short)))
+    same = lambda x, y: F.shiftright(x, 31) == F.shiftright(y, 31)
+    maybe = bound(
+        F.col("short"),
+        lambda all_: F.filter(all_, lambda x, i: same(x, F.get(all_, i + 1)) | same(x, F.get(all_, i - 1))),
+    )
+    at = lambda x: x.bitwiseAND(F.lit(_PLACES - 1)).cast("int")
+    placed = F.transform(maybe, lambda x: F.struct(F.get("windows", at(x)).alias("h"), at(x).alias("i")))
+    ordered = hashed.select("row", "words", "hashes", "lines", "joined", F.sort_array(placed).alias("placed"))
     near = lambda i, step: F.get(F.col("placed"), i + step)["h"]
     repeated = F.filter(
         "placed",
@@ -208,13 +237,14 @@ def judged(
     # a few numbers per bucket, so the driver gets the same amount at any size
     if leave_out:
         (target,) = fresh(docs, "target")
-        told = measures(told_apart(docs, trusted, target), text_column).withColumn("ngrams", ngrams("words", "hashes"))
-        scored = _others_score(told, count_table(docs, trusted, buckets).first(), f"row.{target}", buckets)
+        told = measures(told_apart(docs, trusted, target), text_column)
+        told = told.withColumn("ngrams", ngrams("words", "hashes", buckets))
+        scored = _others_score(told, count_table(docs, trusted, buckets).first(), f"row.{target}")
         figures = scored.withColumn("row", F.struct(*(F.col("row")[c].alias(c) for c in docs.columns)))
     else:
         ratios = _listed(ratio_table(docs, trusted, buckets).first()["ratios"]).cast("array<double>")
-        figures = measures(docs, text_column).withColumn("ngrams", ngrams("words", "hashes"))
-        total = F.aggregate("ngrams", F.lit(0.0), lambda acc, x: acc + F.get(ratios, _bucket(x, buckets)))
+        figures = measures(docs, text_column).withColumn("ngrams", ngrams("words", "hashes", buckets))
+        total = F.aggregate("ngrams", F.lit(0.0), lambda acc, x: acc + F.get(ratios, x))
         figures = figures.withColumn("score", total / F.greatest(F.size("ngrams"), F.lit(1)))
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")
