@@ -11,6 +11,7 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from folioforge.llm import chat, mixing, queries, simhash, suffix_dedup, topk
@@ -279,6 +280,33 @@ def test_anchors_do_not_depend_on_the_step(monkeypatch):
     assert covered == len(octets) - 399
 
 
+def test_copies_of_one_text_are_dealt_over_tasks(spark, folder):
+    shared = prose(17, 1, 150)[0]
+    texts = [*(f"{t} {shared}" for t in prose(19, 300, 120)), *prose(18, 1, 120) * 1500]
+    build(spark, texts).repartition(12).write.parquet(folder + "/documents.parquet")
+    settings = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.autoBroadcastJoinThreshold": "8k",
+        "spark.sql.files.maxPartitionBytes": "8k",
+        "spark.sql.files.openCostInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = suffix_dedup.remove_repeats(spark.read.parquet(folder + "/documents.parquet"))
+        got = rows.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(got) == 1800 and all(r.n_kept == 0 if r.doc_id >= 300 else 0 < r.n_kept <= r.n_bytes - len(shared) for r in got)
+    assert max(collections.Counter(r.task for r in got if r.doc_id >= 300).values()) <= 750
+
+
 def test_pipeline_stages(spark, folder):
     good = [" ".join(prose(20 + i, 1, 120)) for i in range(30)]
     texts = [*good, good[0], good[1] + " extra", "| x%% " * 80, "short", None, prose(77, 1, 120)[0] + ' token = "' + "0a" * 20 + '"']
