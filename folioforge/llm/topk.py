@@ -12,10 +12,8 @@ included, get their exact scores.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +23,10 @@ BLOCK_ROWS = 1 << 14
 BLOCK_QUERIES = 64
 #: Slices left out of the sum, from the lowest up.
 LEFT_OUT = 3
-#: Tasks that share a block of rows.
-LANES = 16
+#: Tasks that share the blocks of rows, at least; queries that a task holds at once.
+LANES, LANE_QUERIES = 32, 1 << 13
+#: What a task returns.
+FOUND = ("query_id", "vec_id", "score")
 #: Components reach no further, so that products of a thousand components can be summed exactly.
 LARGEST = 1 << 26
 
@@ -132,9 +132,10 @@ class Slices:
         return [(int(self.ids[rows[i]]), int(scores[i])) for i in order]
 
 
-def _matrix(values, rows: int, dims: int) -> np.ndarray:
-    """Vectors without components get one of 0."""
-    return np.asarray(values, np.int64).reshape(rows, dims) if dims else np.zeros((rows, 1), np.int64)
+def _matrix(vectors: pa.ChunkedArray, dims: int) -> np.ndarray:
+    """A row per vector, all of `dims` components; those without components get one of 0."""
+    flat = [chunk.flatten().to_numpy(zero_copy_only=False) for chunk in vectors.chunks]
+    return np.concatenate(flat).astype(np.int64).reshape(len(vectors), dims) if dims else np.zeros((len(vectors), 1), np.int64)
 
 
 def _each_row(rows: DataFrame, top: int) -> DataFrame:
@@ -144,13 +145,6 @@ def _each_row(rows: DataFrame, top: int) -> DataFrame:
     return equal.select("vec_id", "q", copies).withColumn("dims", F.size("q"))
 
 
-def _packed(rows: DataFrame, by: list[str]) -> DataFrame:
-    each = F.collect_list(F.struct("vec_id", "q"))
-    return rows.groupBy("dims", *by).agg(each.alias("members")).select(
-        "dims", *by, F.col("members.vec_id").alias("ids"), F.flatten("members.q").alias("values")
-    )
-
-
 def top_inner_products(
     queries: DataFrame, vectors: DataFrame, top: int = TOP, block_rows: int = BLOCK_ROWS, lanes: int = LANES
 ) -> DataFrame:
@@ -160,35 +154,33 @@ def top_inner_products(
     fewer than `top` of them it gets all. Rows that repeat an id are rows of their own, as vectors and
     as queries; the queries of one id are ranked together. Null ids take no part. Blocks of queries meet blocks of rows; a task returns no more
     than `top` rows for a query and a block. Empty tables give no rows.
+
+    Rows travel one by one, so Spark's side never holds a block; a worker of Python holds one block and
+    the queries of its lane, at most `LANE_QUERIES` or so. Lanes are only as many as that and `lanes` tasks need.
     """
     base, asked = _each_row(vectors, top), _each_row(queries, top)
     n_base, n_asked = base.count(), asked.count()
     blocks, groups = max(1, -(-n_base // block_rows)), max(1, -(-n_asked // BLOCK_QUERIES))
-    lanes = min(lanes, groups)
+    lanes = min(groups, max(-(-lanes // blocks), -(-n_asked // LANE_QUERIES)))
     dealt = lambda n: F.pmod(F.xxhash64("vec_id", "q", "copy"), F.lit(n)).cast("int")
-    index = _packed(base.withColumn("block", dealt(blocks)), ["block"])
-    index = index.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
-    each = _packed(asked.withColumn("group", dealt(groups)), ["group"]).withColumn("lane", F.col("group") % lanes)
-    each = each.select(
-        "dims", "lane", F.col("ids").alias("query_ids"), F.col("values").alias("weights"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-    )
-    met = index.join(each, ["dims", "block", "lane"]).select("dims", "block", "lane", "ids", "values", "query_ids", "weights")
-
-    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, slices = None, None
-        for batch in batches:
-            found = []
-            for r in batch.itertuples(index=False):
-                if known != (r.dims, r.block):
-                    values = _matrix(r.values, len(r.ids), r.dims)
-                    slices, known = Slices(np.asarray(r.ids, np.int64), values), (r.dims, r.block)
-                weights = _matrix(r.weights, len(r.query_ids), r.dims)
-                for query_id, w in zip(r.query_ids, weights):
-                    found += [(query_id, i, s) for i, s in slices.best(int(query_id), w, top)]
-            yield pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
-
-    found = met.mapInPandas(best, "query_id long, vec_id long, score long")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    known = ["dims", "vec_id", "q"]
+    index = base.where("dims is not null").withColumn("block", dealt(blocks)).select(*known, "block", every(lanes).alias("lane"))
+    each = asked.where("dims is not null").withColumn("lane", dealt(lanes)).select(*known, "lane", every(blocks).alias("block"))
+
+    def best(rows: pa.Table, own: pa.Table) -> pa.Table:
+        found = []
+        if rows.num_rows and own.num_rows:
+            dims = rows["dims"][0].as_py()
+            slices = Slices(rows["vec_id"].to_numpy(), _matrix(rows["q"], dims))
+            for query_id, weights in zip(own["vec_id"].to_pylist(), _matrix(own["q"], dims)):
+                found += [(query_id, i, s) for i, s in slices.best(query_id, weights, top)]
+        return pa.table([pa.array(c, pa.int64()) for c in zip(*found)] if found else [pa.array([], pa.int64())] * 3, names=FOUND)
+
+    # dealt out by number: a block is few bytes and much work, so Spark would put several into one task
+    key, tasks = ["dims", "block", "lane"], blocks * lanes
+    met = index.repartition(tasks, *key).groupBy(*key).cogroup(each.repartition(tasks, *key).groupBy(*key))
+    found = met.applyInArrow(best, ", ".join(f"{name} long" for name in FOUND))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return ranked.select("query_id", "rank", "vec_id", "score")

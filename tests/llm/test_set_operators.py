@@ -142,6 +142,20 @@ def test_top_k_with_repeated_ids_equals_the_sql(spark):
     assert sorted(got) == sorted((q, r, v, s) for q, r, v, s in want) and len(got) == 20
 
 
+def test_top_k_holds_a_block_and_some_queries_at_a_time(spark, monkeypatch):
+    """No row of any plan holds a block; a worker gets a block once for each lane of at most so many queries."""
+    monkeypatch.setattr(topk, "LANE_QUERIES", 3)
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 2)
+    draw = np.random.default_rng(3)
+    vectors = [(i, draw.normal(0, 0.125, 8).round(3).tolist()) for i in range(300)]
+    rows = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    q = rows.select("vec_id", topk.quantised(rows.embedding).alias("q"))
+    found = topk.top_inner_products(q.where("vec_id % 10 = 0"), q, 5, block_rows=50, lanes=1)
+    assert {(r.query_id, r.rank): (r.vec_id, r.score) for r in found.collect()} == _best(vectors, 10, 5)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "[0,1,2,3,4,5,6,7,8,9]" in plan
+
+
 def test_top_k_refuses_components_that_do_not_fit(spark):
     rows = spark.createDataFrame([(0, [1e18]), (1, [0.5]), (2, [1.0])], "vec_id long, embedding array<double>")
     with pytest.raises(Exception, match="or more"):
