@@ -65,3 +65,15 @@ def test_relevance_join_works_paragraphs_out_once(spark, sample):
     found = registered_queries.relevance_join(spark, sample)
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert found.count() > 0 and "levenshtein" not in plan
+
+
+def test_negative_candidates_counts_from_a_written_table(spark, sample):
+    found = registered_queries.negative_candidates(spark, sample)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.where("n_similar > 0").count() > 0 and "n_similar" in plan and "cosine" not in plan
+
+
+def test_hits_are_written_before_rows_meet_them(spark, sample):
+    found = registered_queries.extra_answerable(spark, sample)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() > 0 and "collect_list" not in plan
